@@ -117,7 +117,7 @@ def plain_draft(_prompt: Column) -> Column:
     """Draft made from the profile alone, for frames that carry profile columns."""
     return F.format_string(
         "%s of %s: %d distinct values from %s to %s.",
-        F.regexp_replace("column_name", "_", " "), F.col("table_name"), F.col("distinct_count"),
+        F.replace("column_name", F.lit("_"), F.lit(" ")), F.col("table_name"), F.col("distinct_count"),
         F.coalesce("min_value", F.lit("-")), F.coalesce("max_value", F.lit("-")),
     )
 
@@ -156,3 +156,16 @@ def entity_match(terms: DataFrame, values: DataFrame, term: str = "term") -> Dat
     asked = terms.select(term).distinct().withColumn("_norm", F.lower(F.trim(term)))
     known = values.withColumn("_norm", F.lower(F.trim("value")))
     return asked.join(known, "_norm").select(term, "table_name", "column_name", "value")
+
+
+def quoted(text) -> Column:
+    """Text as a SQL string literal: inner quotes doubled."""
+    return F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
+
+
+def comment_statements(drafts: DataFrame) -> DataFrame:
+    """The statement that stores each column draft as a comment, for the owner of the tables to run."""
+    return drafts.select("table_name", "column_name", F.concat(
+        F.lit("ALTER TABLE "), F.col("table_name"), F.lit(" ALTER COLUMN "), F.col("column_name"),
+        F.lit(" COMMENT "), quoted(F.col("draft")),
+    ).alias("statement"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.columns import surrogate_key
 from ..operators.quality import Rule, keep_rows
 from ..schemas import GOLD
-from ..sources.tables import conform, read_bronze, write_table
+from ..sources.tables import Tables, conform, read_bronze, write_table
 
 # Row rules per gold table, as conditions on the typed source columns.
 RULES: dict[str, list[Rule]] = {
@@ -121,17 +121,17 @@ def daily_sales(fact: DataFrame) -> DataFrame:
     return conform(summed, GOLD["daily_sales_by_product_store"])
 
 
-def build_gold(bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """All six gold frames, lazily."""
-    sales = fact_transaction(bronze["transaction_line"])
-    return {
-        "dim_guest": dim_guest(bronze["guest"]),
-        "dim_product": dim_product(bronze["product"]),
-        "dim_store": dim_store(bronze["store"]),
-        "fact_transaction": sales,
-        "fact_inventory": fact_inventory(bronze["inventory_snapshot"]),
-        "daily_sales_by_product_store": daily_sales(sales),
-    }
+def build_gold(bronze: Mapping[str, DataFrame]) -> Tables:
+    """The six gold frames over the bronze frames."""
+    gold = Tables({
+        "dim_guest": lambda: dim_guest(bronze["guest"]),
+        "dim_product": lambda: dim_product(bronze["product"]),
+        "dim_store": lambda: dim_store(bronze["store"]),
+        "fact_transaction": lambda: fact_transaction(bronze["transaction_line"]),
+        "fact_inventory": lambda: fact_inventory(bronze["inventory_snapshot"]),
+        "daily_sales_by_product_store": lambda: daily_sales(gold["fact_transaction"]),
+    })
+    return gold
 
 
 # Column that facts are clustered by when written: most questions name a period.

@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -15,6 +16,25 @@ def id_range(spark: SparkSession, n: int, parts: int | None = None) -> DataFrame
     return spark.range(0, n, 1, parts)
 
 
+class Tables(Mapping):
+    """Named frames, each defined when it is first asked for: unused tables cost no planning."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = dict(makers)
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 def _is_path(ref: str) -> bool:
     return "/" in ref
 

@@ -2,12 +2,13 @@
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import cents, id_text, money
 from ..schemas import BRONZE
-from .tables import conform
+from .tables import Tables, conform
 
 ID_WIDTH = 9
 FIRST_SIGNUP = date(2022, 1, 1)
@@ -143,6 +144,6 @@ READERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
-def read_testdata(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All five bronze frames, lazily."""
-    return {name: read(spark, folder) for name, read in READERS.items()}
+def read_testdata(spark: SparkSession, folder: str) -> Tables:
+    """The five bronze frames."""
+    return Tables({name: partial(read, spark, folder) for name, read in READERS.items()})
