@@ -586,7 +586,7 @@ ORACLE["gap_statements"] = """
 ORACLE["table_prompts"] = """
     SELECT table_name, 'Say in one sentence what the retail table ''' || table_name || ''' is for. Its columns are: '
            || string_agg(column_name, ', ' ORDER BY position) || '.' AS prompt
-    FROM meta JOIN profile USING (table_name, column_name) GROUP BY table_name"""
+    FROM meta JOIN profile USING (table_name, column_name) WHERE null_count < row_count GROUP BY table_name"""
 ORACLE["glossary_filled"] = """
     SELECT table_name, column_name, data_type, position, coalesce(comment, draft) AS comment
     FROM meta LEFT JOIN drafts USING (table_name, column_name)

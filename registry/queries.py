@@ -711,18 +711,22 @@ def products_per_brand(spark, d):
 
 # -- K: glossary and value lookup -------------------------------------------
 
-def _profile(spark, d) -> DataFrame:
-    return glossary.profile_tables(gold_of(spark, d), exact=True)
+def _gaps(spark, d) -> DataFrame:
+    """Declared columns without a comment, next to what the data shows about them."""
+    profile = glossary.profile_tables(gold_of(spark, d), glossary.uncommented(GOLD), "exact")
+    return glossary.find_gaps(glossary.describe_columns(spark, GOLD)).join(profile, ["table_name", "column_name"])
 
 
-def _meta(spark, d) -> DataFrame:
-    """Declared columns next to what the data shows about them."""
-    return glossary.describe_columns(spark, GOLD).join(_profile(spark, d), ["table_name", "column_name"])
+def _used_lists(spark, d) -> DataFrame:
+    """Columns that hold at least one value, in declared order."""
+    profile = glossary.profile_tables(gold_of(spark, d), distinct=None)
+    meta = glossary.describe_columns(spark, GOLD).join(profile, ["table_name", "column_name"])
+    return glossary.column_lists(meta.filter(F.col("null_count") < F.col("row_count")))
 
 
 @query
 def column_profile(spark, d):
-    return _profile(spark, d)
+    return glossary.profile_tables(gold_of(spark, d), distinct="exact")
 
 
 @query
@@ -744,24 +748,28 @@ def table_gaps(spark, d):
 
 @query
 def column_gaps(spark, d):
-    return glossary.find_gaps(_meta(spark, d)).select(
+    return _gaps(spark, d).select(
         "table_name", "column_name", "data_type", "row_count", "null_count", "distinct_count")
 
 
 @query
 def column_lists(spark, d):
-    """Columns that hold at least one value, in declared order."""
-    return glossary.column_lists(_meta(spark, d).filter(F.col("null_count") < F.col("row_count")))
+    return _used_lists(spark, d)
+
+
+@query
+def table_prompts(spark, d):
+    return _used_lists(spark, d).select("table_name", glossary.table_prompt().alias("prompt"))
 
 
 @query
 def gap_prompts(spark, d):
-    return glossary.find_gaps(_meta(spark, d)).select(
+    return _gaps(spark, d).select(
         "table_name", "column_name", glossary.column_prompt().alias("prompt"), "row_count")
 
 
 def _drafts(spark, d) -> DataFrame:
-    return glossary.draft(glossary.find_gaps(_meta(spark, d)).withColumn("prompt", glossary.column_prompt()))
+    return glossary.draft(_gaps(spark, d).withColumn("prompt", glossary.column_prompt()))
 
 
 @query
@@ -774,12 +782,6 @@ def gap_statements(spark, d):
     return glossary.comment_statements(_drafts(spark, d))
 
 
-@query
-def table_prompts(spark, d):
-    lists = glossary.column_lists(_meta(spark, d))
-    return lists.select("table_name", glossary.table_prompt().alias("prompt"))
-
-
 @query
 def glossary_filled(spark, d):
     """Comments of all columns and metrics; only the gaps get a draft."""

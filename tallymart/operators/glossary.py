@@ -17,35 +17,39 @@ TABLE_META = "table_name string, table_comment string"
 
 # -- profile ----------------------------------------------------------------
 
-def profile_columns(df: DataFrame, table: str, exact: bool = False) -> DataFrame:
+def profile_columns(
+    df: DataFrame, table: str, columns: Sequence[str] | None = None, distinct: str | None = "sketch"
+) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, least and greatest value as text.
 
-    One pass with sketched distinct counts, or exact ones when asked: then the
-    (column, value) pairs are deduplicated map-side and counted, so no task holds
-    all values of a column.
+    ``columns`` limits the work to those columns. ``distinct`` is ``sketch`` (an
+    estimate, taken in the same single pass), ``exact`` or None (leave it out). For
+    exact counts the (column, value) pairs are deduplicated map-side and then
+    counted, so no task holds all values of a column.
     """
-    columns = df.columns
+    columns = list(columns or df.columns)
+    sketch = distinct == "sketch"
     stats = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count(c).alias(f"_n_{i}") for i, c in enumerate(columns)],
         *[F.min(c).cast("string").alias(f"_lo_{i}") for i, c in enumerate(columns)],
         *[F.max(c).cast("string").alias(f"_hi_{i}") for i, c in enumerate(columns)],
-        *([] if exact else [F.approx_count_distinct(c).alias(f"_d_{i}") for i, c in enumerate(columns)]),
+        *([F.approx_count_distinct(c).alias(f"_d_{i}") for i, c in enumerate(columns)] if sketch else []),
     )
     lines = stats.select(F.inline(F.array(*[
         F.struct(
             F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
             F.col("_rows").alias("row_count"), (F.col("_rows") - F.col(f"_n_{i}")).alias("null_count"),
-            *([] if exact else [F.col(f"_d_{i}").alias("distinct_count")]),
+            *([F.col(f"_d_{i}").alias("distinct_count")] if sketch else []),
             F.col(f"_lo_{i}").alias("min_value"), F.col(f"_hi_{i}").alias("max_value"),
         )
         for i, c in enumerate(columns)
     ])))
-    if not exact:
+    if distinct != "exact":
         return lines
     counts = (
-        long_values(df, columns).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy("column_name").agg(F.count("value").alias("distinct_count"))
+        long_values(df, columns).filter(F.col("value").isNotNull()).distinct()
+        .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
     )
     return lines.join(counts, "column_name", "left").select(
         "table_name", "column_name", "row_count", "null_count",
@@ -59,8 +63,23 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return texts.unpivot([], [F.col(f"`{c}`") for c in columns], "column_name", "value")
 
 
-def profile_tables(tables: Mapping[str, DataFrame], exact: bool = False) -> DataFrame:
-    return reduce(DataFrame.unionByName, [profile_columns(df, name, exact) for name, df in tables.items()])
+def profile_tables(
+    tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] | None = None,
+    distinct: str | None = "sketch",
+) -> DataFrame:
+    """Profiles of several tables; ``columns`` picks tables and columns, default all."""
+    return reduce(DataFrame.unionByName, [
+        profile_columns(tables[t], t, columns[t] if columns else None, distinct) for t in columns or tables
+    ])
+
+
+def uncommented(schemas: Mapping[str, T.StructType]) -> dict[str, list[str]]:
+    """Declared columns without a comment: the only ones a draft needs a profile of."""
+    gaps = {
+        t: [f.name for f in s.fields if not ((f.metadata or {}).get("comment") or "").strip()]
+        for t, s in schemas.items()
+    }
+    return {t: names for t, names in gaps.items() if names}
 
 
 # -- metadata ---------------------------------------------------------------

@@ -18,7 +18,7 @@ def dense_index(
     A frame that is shown to hold at most ``one_task_rows`` rows is numbered by a
     plain window; any larger one goes to ``dense_index_scaled``.
     """
-    if df.select(*order_by).limit(one_task_rows + 1).count() > one_task_rows:
+    if df.count() > one_task_rows:
         return dense_index_scaled(df, order_by, name)
     return df.withColumn(name, F.row_number().over(Window.orderBy(*order_by)) - 1)
 

@@ -147,10 +147,13 @@ def read_tables(spark: SparkSession, where: str, names) -> dict[str, DataFrame]:
     return {n: read_bronze(spark, f"{where}{'/' if '/' in where else '.'}{n}") for n in names}
 
 
-def refresh_gold(bronze: Mapping[str, DataFrame], where: str, cluster: bool = True) -> dict[str, DataFrame]:
+def refresh_gold(bronze: Mapping[str, DataFrame], where: str, cluster: bool = False) -> dict[str, DataFrame]:
     """Recompute and replace all six gold tables in a folder or schema; returns scans of them.
 
     The daily table is summed from the stored sales lines, not from bronze again.
+    Everything else is projection and filter, so by default nothing is shuffled on
+    the way to the files. ``cluster`` adds one shuffle per fact to gather rows by
+    date, for bronze that does not already arrive in date order.
     """
     sep = "/" if "/" in where else "."
 

@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import cents, id_text, money
+from ..operators.joins import each_day
 from ..schemas import BRONZE
 from .tables import Tables, conform
 
@@ -121,16 +122,15 @@ def inventory_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     on_hand = F.when(
         (F.col("r_name") == DEPLETED_REGION) & focus, F.greatest(F.lit(0), 18 - 2 * day)
     ).otherwise(F.greatest(F.lit(0), F.when(focus, 60).otherwise(120) + noise))
-    df = (
+    named = (
         pairs.join(shop, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("day_idx", F.explode(F.sequence(F.lit(0), F.lit(STOCK_DAYS - 1))))
-        .select(
-            F.date_add(F.lit(STOCK_START), day).alias("snapshot_date"),
-            id_text("S", "l_suppkey", ID_WIDTH).alias("store_id"),
-            id_text("P", "l_partkey", ID_WIDTH).alias("product_id"),
-            on_hand.cast("int").alias("quantity_on_hand"),
-        )
+        .withColumn("store_id", id_text("S", "l_suppkey", ID_WIDTH))
+        .withColumn("product_id", id_text("P", "l_partkey", ID_WIDTH))
+    )
+    df = each_day(named, STOCK_DAYS).select(
+        F.date_add(F.lit(STOCK_START), day).alias("snapshot_date"), "store_id", "product_id",
+        on_hand.cast("int").alias("quantity_on_hand"),
     )
     return conform(df, BRONZE["inventory_snapshot"])
 
