@@ -109,7 +109,7 @@ def inventory_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     """Stock of every store-product pair that ever sold, for each of the stock days.
 
     Pairs are deduplicated before the joins and before the days are added, so the
-    only wide shuffle carries one row per pair.
+    only wide shuffles carry one row per pair.
     """
     pairs = scan(spark, folder, "lineitem").select("l_suppkey", "l_partkey").distinct()
     shop = scan(spark, folder, "supplier").join(
@@ -123,8 +123,8 @@ def inventory_snapshots(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("r_name") == DEPLETED_REGION) & focus, F.greatest(F.lit(0), 18 - 2 * day)
     ).otherwise(F.greatest(F.lit(0), F.when(focus, 60).otherwise(120) + noise))
     named = (
-        pairs.join(shop, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        pairs.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(shop, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("store_id", id_text("S", "l_suppkey", ID_WIDTH))
         .withColumn("product_id", id_text("P", "l_partkey", ID_WIDTH))
     )
