@@ -21,6 +21,7 @@ from tallymart.sources.testdata import read_testdata
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
+LIMIT = 500_000  # rows of daily sales that may be broadcast
 # queries that start from the raw tables
 FROM_RAW = [
     "net_sales_by_category", "quality_report", "fk_audit", "dense_index_scaled", "promo_resample",
@@ -34,7 +35,7 @@ def session() -> SparkSession:
         builder = builder.config(name, value)
     spark = (
         builder.config("spark.driver.memory", "16g").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.ui.showConsoleProgress", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -50,14 +51,16 @@ def gold_queries(gold):
     every = {
         "q_sales_all_measures": lambda: metric_query(SALES, gold, grain, [m.name for m in SALES.measures]),
         "q_inventory_all_measures": lambda: metric_query(INVENTORY, gold, grain, [m.name for m in INVENTORY.measures]),
+        "q_inventory_checked_broadcast": lambda: metric_query(
+            INVENTORY, gold, grain, [m.name for m in INVENTORY.measures], broadcast_limit=LIMIT),
         "q_inventory_folded": lambda: metric_query(
             INVENTORY, gold, grain, [m.name for m in INVENTORY.measures], pre_aggregate=True),
         "q_net_sales_by_category": lambda: Q.net_sales_by_category(gold),
         "q_monthly_net_sales": lambda: Q.monthly_net_sales(gold),
         "q_category_distribution": lambda: Q.category_distribution(gold),
         "q_region_sales_last_month": lambda: Q.region_sales_last_month(gold),
-        "q_top_region_sell_through": lambda: Q.top_region_sell_through(gold, "PROMO"),
-        "q_lowest_sell_through": lambda: Q.lowest_sell_through(gold, 10),
+        "q_top_region_sell_through": lambda: Q.top_region_sell_through(gold, "PROMO", LIMIT),
+        "q_lowest_sell_through": lambda: Q.lowest_sell_through(gold, 10, LIMIT),
         "q_products_per_brand": lambda: Q.products_per_brand(gold),
     }
     for table, key in PRIMARY_KEYS.items():

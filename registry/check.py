@@ -23,6 +23,7 @@ def local_session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[8]").appName("tallymart-check")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true").getOrCreate()
     )

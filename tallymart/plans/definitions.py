@@ -43,7 +43,8 @@ INVENTORY = MetricView(
         JoinSpec("store", "dim_store", "source.store_key = store.store_key"),
         JoinSpec("sales", "daily_sales_by_product_store",
                  "source.store_key = sales.store_key AND source.product_key = sales.product_key"
-                 " AND source.snapshot_date = sales.sale_date"),
+                 " AND source.snapshot_date = sales.sale_date",
+                 range_on=("snapshot_date", "sale_date")),
     ],
     dimensions=[
         Dimension("Snapshot Date", "source.snapshot_date"),

@@ -7,7 +7,7 @@ is asked for; a ratio of two sums is never summed again.
 
 import re
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -72,11 +72,16 @@ class Measure:
 
 @dataclass(frozen=True)
 class JoinSpec:
-    """Left join of a gold table; ``on`` may name ``source`` and other aliases."""
+    """Left join of a gold table; ``on`` may name ``source`` and other aliases.
+
+    ``range_on``: a (source column, joined column) pair that ``on`` equates, usually
+    dates. Joined rows outside the source's range of it cannot match.
+    """
 
     alias: str
     table: str
     on: str
+    range_on: tuple[str, str] | None = None
 
 
 @dataclass(frozen=True)
@@ -87,12 +92,18 @@ class MetricView:
     dimensions: Sequence[Dimension]
     measures: Sequence[Measure]
     comment: str = ""
-    _dims: dict = field(init=False, repr=False, compare=False, default=None)
-    _measures: dict = field(init=False, repr=False, compare=False, default=None)
 
-    def __post_init__(self):
-        object.__setattr__(self, "_dims", {d.name: d for d in self.dimensions})
-        object.__setattr__(self, "_measures", {m.name: m for m in self.measures})
+    @property
+    def _dims(self) -> dict[str, Dimension]:
+        return {d.name: d for d in self.dimensions}
+
+    @property
+    def _measures(self) -> dict[str, Measure]:
+        return {m.name: m for m in self.measures}
+
+    def with_dimensions(self, *more: Dimension) -> "MetricView":
+        """The same view with further dimensions."""
+        return replace(self, dimensions=[*self.dimensions, *more])
 
     def dimension(self, name: str) -> Dimension:
         if name not in self._dims:
@@ -150,11 +161,24 @@ def _ordering(item, names: Sequence[str]):
     return col.desc_nulls_last() if way == "desc" else col.asc_nulls_last()
 
 
-def _joined(view: MetricView, gold, source: DataFrame, used) -> DataFrame:
-    return star_join(source, [Join(j.alias, gold[j.table], j.on) for j in view.joins if j.alias in used])
+def _narrowed(join: JoinSpec, gold, source: DataFrame, broadcast_limit: int) -> DataFrame:
+    """The joined rows that lie in the source's range, marked for broadcast if counted few enough."""
+    of_source, of_joined = join.range_on
+    low, high = (source.agg(f(of_source)).scalar() for f in (F.min, F.max))
+    near = gold[join.table].filter((F.col(of_joined) >= low) & (F.col(of_joined) <= high))
+    return F.broadcast(near) if near.count() <= broadcast_limit else near
 
 
-def _folded(view: MetricView, gold, dims, parts, prune_joins):
+def _joined(view: MetricView, gold, source: DataFrame, used, broadcast_limit: int | None = None) -> DataFrame:
+    joins = []
+    for j in view.joins:
+        if j.alias in used:
+            narrow = broadcast_limit is not None and j.range_on
+            joins.append(Join(j.alias, _narrowed(j, gold, source, broadcast_limit) if narrow else gold[j.table], j.on))
+    return star_join(source, joins)
+
+
+def _folded(view: MetricView, gold, dims, parts, prune_joins, broadcast_limit):
     """Rows folded to one per join key, then joined; and how to finish each part.
 
     Joins that the parts need are made first, at row level. The other joins only
@@ -174,7 +198,7 @@ def _folded(view: MetricView, gold, dims, parts, prune_joins):
     late_joins = [j for j in view.joins if j.alias in late - early]
     fold_keys = sorted({k for j in late_joins for k in re.findall(r"\bsource`?\.`?(\w+)", j.on)})
 
-    rows = _joined(view, gold, gold[view.source], early).select(
+    rows = _joined(view, gold, gold[view.source], early, broadcast_limit).select(
         *[F.expr(d.expr).alias(n) for n, d in dims.items() if n not in late_dims],
         *[F.expr(f"source.`{k}`").alias(k) for k in fold_keys],
         *[F.expr(p.of).alias(c) for p, c in parts.items()],
@@ -204,6 +228,7 @@ def metric_query(
     limit: int | None = None,
     prune_joins: bool = True,
     pre_aggregate: bool = False,
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Measures of ``view`` for every combination of dimension values.
 
@@ -221,6 +246,11 @@ def metric_query(
     Worth it when a joined table is too large to broadcast: the join then moves
     folded rows, and a hot key shrinks before it is shuffled. With broadcast-sized
     dimensions the plain plan has fewer shuffles. Both give the same rows.
+
+    ``broadcast_limit`` is for stored tables where a join has ``range_on``: joined
+    rows outside the source's range are filtered out and the rest is counted now,
+    by a scan of that column. Up to this many rows are broadcast and the source is
+    not shuffled; with more, Spark joins as usual.
     """
     if not dimensions and not measures:
         raise ValueError("ask for at least one dimension or measure")
@@ -237,11 +267,11 @@ def metric_query(
         p for m in wanted.values() for p in m.parts.values()))}
 
     if pre_aggregate:
-        rows, columns = _folded(view, gold, dims, parts, prune_joins)
+        rows, columns = _folded(view, gold, dims, parts, prune_joins, broadcast_limit)
     else:
         texts = [d.expr for d in dims.values()] + [p.of for p in parts]
         used = view.aliases_in(texts) if prune_joins else {j.alias for j in view.joins}
-        rows = _joined(view, gold, gold[view.source], used).select(
+        rows = _joined(view, gold, gold[view.source], used, broadcast_limit).select(
             *[F.expr(d.expr).alias(n) for n, d in dims.items()],
             *[F.expr(p.of).alias(c) for p, c in parts.items()],
         )

@@ -122,6 +122,23 @@ def test_folded_inventory_agrees(gold, dims):
                 metric_query(INVENTORY, gold, dims, names, pre_aggregate=True))
 
 
+@pytest.mark.parametrize("limit", [0, 1_000])
+@pytest.mark.parametrize("fold", [False, True])
+def test_checked_broadcast_agrees(made_gold, limit, fold):
+    names = [m.name for m in INVENTORY.measures]
+    dims = ["Product Category", "Store Region"]
+    got = metric_query(INVENTORY, made_gold, dims, names, pre_aggregate=fold, broadcast_limit=limit)
+    assert same(metric_query(INVENTORY, made_gold, dims, names), got)
+
+
+def test_checked_broadcast_only_below_the_limit(spark, made_gold):
+    def hinted(limit):
+        df = metric_query(INVENTORY, made_gold, [], ["Units Sold"], broadcast_limit=limit)
+        return "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(10_000_000) and not hinted(10)
+
+
 def test_repeated_dimension_key_changes_sums_and_is_audited(gold):
     doubled = {**gold, "dim_store": gold["dim_store"].union(gold["dim_store"])}
     assert quality.audit_many_to_one(doubled["dim_store"], "store_key").first()["is_many_to_one"] is False
