@@ -290,7 +290,7 @@ def dense_index_orders(spark, d):
     """Scale-out numbering over a column with five values, then the key."""
     return dense_index_scaled(
         scan(spark, d, "orders").select("o_orderpriority", "o_orderkey"),
-        ["o_orderpriority", "o_orderkey"], "position",
+        ["o_orderpriority", "o_orderkey"], "position", partitions=16,
     )
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..sources.tables import durable
 
 ONE_TASK_ROWS = 100_000
+ROWS_PER_PART = 500_000
+MOST_PARTS = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
@@ -32,10 +34,10 @@ def dense_index_scaled(
     its position there. That frame is frozen in the checkpoint folder, since two
     passes over it must agree. Then only the partition sizes (one row per
     partition) are summed up and sent back to the rows. Ties are spread by a
-    row hash and a row id, so a repeated key does not fill one partition.
+    row hash and a row id, so a repeated key does not fill one partition. The
+    number of partitions grows with the rows unless it is given.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or min(MOST_PARTS, max(1, -(-df.count() // ROWS_PER_PART)))
     spread = [*order_by, "_tie_hash", "_tie_id"]
     placed = durable(
         df.withColumn("_tie_hash", F.xxhash64(*df.columns))

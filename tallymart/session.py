@@ -16,6 +16,8 @@ def settings(cores: int, shuffle_bytes: int, broadcast_bytes: int = 10 << 20) ->
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # hashing and drawing cost more per byte than plain rows: keep small shuffles on all cores
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "65536",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),

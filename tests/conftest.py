@@ -15,7 +15,8 @@ def spark():
     session = (
         SparkSession.builder.master("local[*]").appName("tallymart-tests")
         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g")
+        .config("spark.sql.maxMetadataStringLength", "10000").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
