@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.columns import surrogate_key
 from ..operators.quality import Rule, keep_rows
 from ..schemas import GOLD
-from ..sources.tables import Tables, conform, read_bronze, write_table
+from ..sources.tables import Tables, conform, inside, read_bronze, write_table
 
 # Row rules per gold table, as conditions on the typed source columns.
 RULES: dict[str, list[Rule]] = {
@@ -144,7 +144,7 @@ CLUSTER_BY = {
 
 def read_tables(spark: SparkSession, where: str, names) -> dict[str, DataFrame]:
     """Scan stored tables from a folder (``where`` has a slash) or a schema."""
-    return {n: read_bronze(spark, f"{where}{'/' if '/' in where else '.'}{n}") for n in names}
+    return {n: read_bronze(spark, inside(where, n)) for n in names}
 
 
 def refresh_gold(bronze: Mapping[str, DataFrame], where: str, cluster: bool = False) -> dict[str, DataFrame]:
@@ -155,10 +155,8 @@ def refresh_gold(bronze: Mapping[str, DataFrame], where: str, cluster: bool = Fa
     the way to the files. ``cluster`` adds one shuffle per fact to gather rows by
     date, for bronze that does not already arrive in date order.
     """
-    sep = "/" if "/" in where else "."
-
     def write(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, f"{where}{sep}{name}", cluster_by=CLUSTER_BY.get(name) if cluster else None)
+        return write_table(df, inside(where, name), cluster_by=CLUSTER_BY.get(name) if cluster else None)
 
     out = {
         "dim_guest": write("dim_guest", dim_guest(bronze["guest"])),

@@ -39,6 +39,17 @@ def _is_path(ref: str) -> bool:
     return "/" in ref
 
 
+def inside(where: str, name: str) -> str:
+    """Table ``name`` in a folder (``where`` has a slash) or a schema."""
+    return f"{where.rstrip('/')}/{name}" if _is_path(where) else f"{where}.{name}"
+
+
+def ensure_schema(spark: SparkSession, where: str) -> None:
+    """Create the schema unless it exists; folders need no creating."""
+    if not _is_path(where):
+        spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)", {"name": where})
+
+
 def read_bronze(spark: SparkSession, ref: str) -> DataFrame:
     """Scan a table by name (``schema.table``) or a parquet folder by path."""
     return spark.read.parquet(ref) if _is_path(ref) else spark.table(ref)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from conftest import START
 from tallymart import fixed_values as V
 from tallymart.plans import generate
+from tallymart.plans.build import build
+from tallymart.schemas import GOLD
 from tallymart.sources.tables import id_range
 
 
@@ -96,3 +98,18 @@ def test_two_sizes(spark):
     small = generate.generate_bronze(spark, 3, date(2024, 6, 1), 50, 40, 25, 900, 100, 400)
     assert {n: df.count() for n, df in small.items()} == {
         "guest": 50, "product": 40, "store": 25, "transaction_line": 1_000, "inventory_snapshot": 25 * 40 * 14}
+
+
+def test_build_into_schemas_and_folders(spark, tmp_path):
+    sizes = dict(n_guests=50, n_products=40, n_stores=25, n_lines=900, n_promo=100, n_baskets=400)
+    made = build(spark, str(tmp_path / "bronze"), str(tmp_path / "gold"), 3, START, **sizes)
+    try:
+        named = build(spark, "tallymart_b", "tallymart_g", 3, START, **sizes)
+        for name in GOLD:
+            assert sorted(map(str, named[name].collect())) == sorted(map(str, made[name].collect()))
+        assert made["fact_transaction"].count() == 1_000
+        described = {r.col_name: r.comment for r in spark.sql("DESCRIBE tallymart_g.dim_store").collect()}
+        assert described["region"] == "First level of store geography."
+    finally:
+        spark.sql("DROP SCHEMA IF EXISTS tallymart_b CASCADE")
+        spark.sql("DROP SCHEMA IF EXISTS tallymart_g CASCADE")
