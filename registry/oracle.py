@@ -281,6 +281,12 @@ ORACLE["range_source"] = """
     LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON id = o_custkey"""
 ORACLE["scan_bronze"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"
 ORACLE["table_roundtrip"] = "SELECT * FROM g_daily"
+ORACLE["refresh_gold"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(sum({c}) AS BIGINT) AS units FROM {step}"
+    for t, step, c in [
+        ("dim_guest", "g_guest", "0"), ("dim_product", "g_product", "0"), ("dim_store", "g_store", "0"),
+        ("fact_transaction", "g_sale", "quantity"), ("fact_inventory", "g_stock", "quantity_on_hand"),
+        ("daily_sales_by_product_store", "g_daily", "units_sold")])
 ORACLE["conform_schema"] = """
     SELECT o_orderkey AS order_id, TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS priority_rank,
            TRY_CAST(o_orderpriority AS INTEGER) AS priority,

@@ -79,6 +79,17 @@ def table_roundtrip(spark, d):
     return write_table(daily, scratch_table(spark, "daily_sales"), cluster_by=["sale_date"])
 
 
+@query
+def refresh_gold(spark, d):
+    """All six gold tables written, the daily one from the stored lines; rows and units of each."""
+    stored = G.refresh_gold(read_testdata(spark, d), scratch_table(spark, "gold"))
+    units = {"fact_transaction": "quantity", "fact_inventory": "quantity_on_hand",
+             "daily_sales_by_product_store": "units_sold"}
+    return union_all(
+        df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(units.get(t) or F.lit(0)).alias("units"))
+        .withColumn("table_name", F.lit(t)) for t, df in stored.items())
+
+
 @query
 def conform_schema(spark, d):
     target = T.StructType([
