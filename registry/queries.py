@@ -1,7 +1,6 @@
 """One registered query per operator, metric and question. Each reads the given tables whole."""
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -12,11 +11,11 @@ from tallymart.operators import glossary, quality
 from tallymart.operators.index import dense_index, dense_index_scaled
 from tallymart.operators.joins import Join, drill_across, each_day, grid, resolve_index, star_join
 from tallymart.operators.sampling import resample_into, split_by, subset_index
-from tallymart.plans import generate, gold as G, questions as Q
+from tallymart.plans import generate, gold as G, questions as Q, reports
 from tallymart.plans.definitions import INVENTORY, SALES, VIEWS
 from tallymart.plans.metrics import metric_query
-from tallymart.schemas import BRONZE, GOLD, LOOKUP_COLUMNS, LOOKUP_DIMENSIONS, PRIMARY_KEYS, RELATIONSHIPS
-from tallymart.schemas import TABLE_COMMENTS
+from tallymart.plans.reports import union_all
+from tallymart.schemas import BRONZE, LOOKUP_COLUMNS, LOOKUP_DIMENSIONS, TABLE_COMMENTS
 from tallymart.sources.tables import Tables, conform, id_range, read_bronze, row_count, scratch_table, write_table
 from tallymart.sources.testdata import READERS, read_testdata, scan
 
@@ -53,10 +52,6 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(F.col(n), 6) for n in names})
 
 
-def union_all(frames) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 # -- A: sources and sinks ---------------------------------------------------
 
 @query
@@ -530,11 +525,7 @@ def quality_warn(spark, d):
 
 @query
 def quality_report(spark, d):
-    b = unclean(spark, d)
-    return union_all(
-        quality.rule_report(G.typed_source(t, b[s]), G.RULES[t]).withColumn("table_name", F.lit(t))
-        for t, s in G.SOURCE_OF.items()
-    )
+    return reports.rules(unclean(spark, d))
 
 
 @query
@@ -547,9 +538,7 @@ def quality_quarantine(spark, d):
 
 @query
 def pk_audit(spark, d):
-    g = gold_of(spark, d)
-    return union_all(
-        quality.audit_primary_key(g[t], k).withColumn("table_name", F.lit(t)) for t, k in PRIMARY_KEYS.items())
+    return reports.primary_keys(gold_of(spark, d))
 
 
 @query
@@ -559,27 +548,14 @@ def pk_duplicates(spark, d):
 
 @query
 def fk_audit(spark, d):
-    g = G.build_gold(unclean(spark, d))
-    return union_all(
-        quality.audit_foreign_key(g[r.child], g[r.parent], r.key).agg(
-            F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows")
-        ).select(F.lit(r.child).alias("child"), F.lit(r.parent).alias("parent"), "orphan_keys", "orphan_rows")
-        for r in RELATIONSHIPS
-    )
+    return reports.foreign_keys(G.build_gold(unclean(spark, d)))
 
 
 @query
 def cardinality_audit(spark, d):
     """The seven declared joins, and the line key for contrast: it repeats."""
-    g = gold_of(spark, d)
-    ends = [(r.child, r.parent, r.key) for r in RELATIONSHIPS]
-    ends.append(("fact_transaction", "fact_transaction", "transaction_line_key"))
-    return union_all(
-        quality.audit_many_to_one(g[parent], key).select(
-            F.lit(child).alias("child"), F.lit(parent).alias("parent"), F.lit(key).alias("join_key"),
-            "max_rows_per_key", "is_many_to_one")
-        for child, parent, key in ends
-    )
+    line_key = ("fact_transaction", "fact_transaction", "transaction_line_key")
+    return reports.cardinality(gold_of(spark, d), (line_key,))
 
 
 @query
@@ -722,19 +698,6 @@ def products_per_brand(spark, d):
 
 # -- K: glossary and value lookup -------------------------------------------
 
-def _gaps(spark, d) -> DataFrame:
-    """Declared columns without a comment, next to what the data shows about them."""
-    profile = glossary.profile_tables(gold_of(spark, d), glossary.uncommented(GOLD), "exact")
-    return glossary.find_gaps(glossary.describe_columns(spark, GOLD)).join(profile, ["table_name", "column_name"])
-
-
-def _used_lists(spark, d) -> DataFrame:
-    """Columns that hold at least one value, in declared order."""
-    profile = glossary.profile_tables(gold_of(spark, d), distinct=None)
-    meta = glossary.describe_columns(spark, GOLD).join(profile, ["table_name", "column_name"])
-    return glossary.column_lists(meta.filter(F.col("null_count") < F.col("row_count")))
-
-
 @query
 def column_profile(spark, d):
     return glossary.profile_tables(gold_of(spark, d), distinct="exact")
@@ -759,47 +722,40 @@ def table_gaps(spark, d):
 
 @query
 def column_gaps(spark, d):
-    return _gaps(spark, d).select(
+    return reports.column_gaps(spark, gold_of(spark, d)).select(
         "table_name", "column_name", "data_type", "row_count", "null_count", "distinct_count")
 
 
 @query
 def column_lists(spark, d):
-    return _used_lists(spark, d)
+    return reports.used_columns(spark, gold_of(spark, d))
 
 
 @query
 def table_prompts(spark, d):
-    return _used_lists(spark, d).select("table_name", glossary.table_prompt().alias("prompt"))
+    return reports.used_columns(spark, gold_of(spark, d)).select("table_name", glossary.table_prompt().alias("prompt"))
 
 
 @query
 def gap_prompts(spark, d):
-    return _gaps(spark, d).select(
+    return reports.column_gaps(spark, gold_of(spark, d)).select(
         "table_name", "column_name", glossary.column_prompt().alias("prompt"), "row_count")
 
 
-def _drafts(spark, d) -> DataFrame:
-    return glossary.draft(_gaps(spark, d).withColumn("prompt", glossary.column_prompt()))
-
-
 @query
 def gap_drafts(spark, d):
-    return _drafts(spark, d).select("table_name", "column_name", "draft")
+    return reports.column_drafts(spark, gold_of(spark, d)).select("table_name", "column_name", "draft")
 
 
 @query
 def gap_statements(spark, d):
-    return glossary.comment_statements(_drafts(spark, d))
+    return glossary.comment_statements(reports.column_drafts(spark, gold_of(spark, d)))
 
 
 @query
 def glossary_filled(spark, d):
     """Comments of all columns and metrics; only the gaps get a draft."""
-    columns = glossary.describe_columns(spark, GOLD)
-    filled = glossary.fill(columns, _drafts(spark, d))
-    metrics = glossary.describe_metrics(spark, VIEWS.values())
-    return filled.unionByName(metrics).select("table_name", "column_name", "data_type", "position", "comment")
+    return reports.dictionary(spark, gold_of(spark, d))
 
 
 @query

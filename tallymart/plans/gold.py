@@ -134,29 +134,37 @@ def build_gold(bronze: Mapping[str, DataFrame]) -> Tables:
     return gold
 
 
-# Column that facts are clustered by when written: most questions name a period.
-CLUSTER_BY = {
-    "fact_transaction": ["transaction_date"],
-    "fact_inventory": ["snapshot_date"],
-    "daily_sales_by_product_store": ["sale_date"],
+# Date column of each fact, for the stored layout: most questions name a period.
+DATE_OF = {
+    "fact_transaction": "transaction_date",
+    "fact_inventory": "snapshot_date",
+    "daily_sales_by_product_store": "sale_date",
 }
 
 
 def read_tables(spark: SparkSession, where: str, names) -> dict[str, DataFrame]:
-    """Scan stored tables from a folder (``where`` has a slash) or a schema."""
-    return {n: read_bronze(spark, inside(where, n)) for n in names}
+    """Scan stored gold tables from a folder (``where`` has a slash) or a schema."""
+    return {n: read_bronze(spark, inside(where, n)).select(GOLD[n].names) for n in names}
 
 
-def refresh_gold(bronze: Mapping[str, DataFrame], where: str, cluster: bool = False) -> dict[str, DataFrame]:
+def refresh_gold(bronze: Mapping[str, DataFrame], where: str, layout: str = "as_is") -> dict[str, DataFrame]:
     """Recompute and replace all six gold tables in a folder or schema; returns scans of them.
 
     The daily table is summed from the stored sales lines, not from bronze again.
-    Everything else is projection and filter, so by default nothing is shuffled on
-    the way to the files. ``cluster`` adds one shuffle per fact to gather rows by
-    date, for bronze that does not already arrive in date order.
+    Everything else is projection and filter, so ``as_is`` shuffles nothing on the
+    way to the files. Two layouts spend one skew-safe shuffle per fact so that
+    questions about a period read less: ``cluster`` gathers and sorts rows by date,
+    ``partition`` makes a folder per date, for facts of many gigabytes a day.
     """
+    if layout not in ("as_is", "cluster", "partition"):
+        raise ValueError(f"layout {layout!r} is not as_is, cluster or partition")
+
     def write(name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, inside(where, name), cluster_by=CLUSTER_BY.get(name) if cluster else None)
+        by = [DATE_OF[name]] if name in DATE_OF else None
+        stored = write_table(
+            df, inside(where, name),
+            cluster_by=by if layout == "cluster" else None, partition_by=by if layout == "partition" else None)
+        return stored.select(GOLD[name].names)
 
     out = {
         "dim_guest": write("dim_guest", dim_guest(bronze["guest"])),

@@ -70,9 +70,13 @@ def test_rules_on_ids_equal_rules_on_hashed_keys(tiny_bronze):
 
 def test_refresh_writes_what_build_defines(spark, tiny_bronze, gold, tmp_path):
     stored = G.refresh_gold(tiny_bronze, str(tmp_path))
-    clustered = G.refresh_gold(tiny_bronze, str(tmp_path / "c"), cluster=True)
+    clustered = G.refresh_gold(tiny_bronze, str(tmp_path / "c"), "cluster")
+    parted = G.refresh_gold(tiny_bronze, str(tmp_path / "p"), "partition")
     for name in GOLD:
-        assert same(stored[name], gold[name]) and same(clustered[name], gold[name])
+        for other in (stored, clustered, parted):
+            assert same(other[name], gold[name])
+    with pytest.raises(ValueError, match="layout"):
+        G.refresh_gold(tiny_bronze, str(tmp_path), "other")
     again = G.read_tables(spark, str(tmp_path), GOLD)
     assert same(again["dim_store"], gold["dim_store"])
 

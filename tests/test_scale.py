@@ -45,6 +45,14 @@ def test_date_filter_reaches_the_scan(stored):
     assert "GreaterThanOrEqual(transaction_date,1999-01-01)" in text
 
 
+def test_date_filter_prunes_folders(spark, tmp_path):
+    bronze = read_testdata(spark, "/root/testdata/sf0.001")
+    parted = G.refresh_gold(bronze, str(tmp_path), "partition")["fact_inventory"]
+    text = plan(parted.filter("snapshot_date = DATE'1998-02-15'"))
+    assert "PartitionFilters: [isnotnull(snapshot_date" in text and "InMemoryFileIndex(1 paths)" in text
+    assert parted.filter("snapshot_date = DATE'1998-02-15'").count() == 26_670 // 14
+
+
 def test_scan_reads_only_the_asked_columns(stored):
     text = plan(metric_query(SALES, stored, ["Transaction Date"], ["Units Sold"]))
     assert "ReadSchema: struct<transaction_date:date,quantity:int>" in text
