@@ -101,15 +101,16 @@ def conform(df: DataFrame, schema: T.StructType, check_required: bool = True) ->
     because earlier rules already dropped such rows.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
-    out = []
+    changed = {}
     for field in schema.fields:
         col = F.col(field.name)
         if have[field.name] != field.dataType:
-            col = col.try_cast(field.dataType)
+            col = changed[field.name] = col.try_cast(field.dataType)
         if check_required and not field.nullable:
-            col = F.coalesce(col, F.raise_error(F.lit(f"{field.name} must not be NULL")))
-        out.append(col.alias(field.name, metadata=field.metadata or {}))
-    return df.select(*out)
+            changed[field.name] = F.coalesce(col, F.raise_error(F.lit(f"{field.name} must not be NULL")))
+    if changed:
+        df = df.withColumns(changed)
+    return df.to(T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields]))
 
 
 def row_count(df: DataFrame) -> Column:

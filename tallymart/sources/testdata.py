@@ -4,7 +4,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import cents, id_text, money
 from ..operators.joins import each_day
@@ -20,8 +20,15 @@ DEPLETED_REGION = "AFRICA"
 FOCUS_CATEGORY = "PROMO"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+    """One given table. Its schema is read from the file once per process, then reused."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _places(spark: SparkSession, folder: str) -> DataFrame:
