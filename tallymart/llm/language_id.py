@@ -8,10 +8,9 @@ n-grams are counted per language, less those that chance explains, and the large
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from .common import by_row
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 SAMPLE_ROWS = 8_000      # expected number of labelled rows the filters are learned from
 GRAMS = (1, 2, 3, 4)     # characters, over lower-cased text
@@ -62,6 +61,13 @@ class Filters:
             filled = np.count_nonzero(self.masks[i // 64] & kind(1 << (i % 64))) / size
             self.chance[i] = filled ** PROBES
 
+    @classmethod
+    def restored(cls, state: dict) -> "Filters":
+        """The same filters from their plain attributes."""
+        here = cls.__new__(cls)
+        vars(here).update(state)
+        return here
+
     def counts(self, hashes: np.ndarray) -> np.ndarray:
         """N-grams in each language's set, corrected for false positives."""
         raw = np.zeros(len(self.languages))
@@ -134,13 +140,12 @@ def detect(docs: DataFrame, filters: Filters, text_col: str = "text", lang: str
     score 0. No row is moved; an empty table gives no rows.
     """
     held = docs.drop(lang, score)
-    known = held.sparkSession.sparkContext.broadcast(filters)
-
-    @F.pandas_udf(f"{lang} string, {score} double")
-    def judge(texts):
-        import pandas as pd
+    known = held.sparkSession.sparkContext.broadcast(vars(filters))
 
-        return pd.DataFrame([known.value.predict(t) for t in texts], columns=[lang, score])
+    @F.pandas_udf(T.StructType([T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]))
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        here = Filters.restored(known.value)
+        return pd.DataFrame([here.predict(t) for t in texts], columns=[lang, score])
 
     return held.withColumn("_judged", judge(F.col(text_col))).select(
         *[F.col(f"`{c}`") for c in held.columns], f"_judged.{lang}", f"_judged.{score}")

@@ -26,7 +26,9 @@ _WORD = 1 << 64
 
 def level_lengths(window: int) -> list[int]:
     """Run lengths of the levels: half the window, then the window, its double or one less."""
-    return [(window + 1) // 2, window] if window > 1 else [window]
+    if window < 2:
+        raise ValueError("a window has at least two words")
+    return [(window + 1) // 2, window]
 
 
 class WordHashes(dict):
@@ -214,7 +216,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     alive = stored(_surviving(
         scanned.filter(F.size("keys") > 0).select("rid", "keys").join(standing, "rid")), "alive")
     found = None
-    if len(lengths) > 1 and not alive.isEmpty():
+    if not alive.isEmpty():
         named = alive.join(scanned.select("rid", "digest", F.col("place").alias("owner")), "rid")
         texts_of = rows.select(place.alias("owner"), "text").join(named, "owner").select(
             "rid", "owner", "digest", "alive", "text")
