@@ -12,7 +12,9 @@ SEED = 7
 # -- text helpers -----------------------------------------------------------
 
 def key(prefix, number, width=9):
-    return f"'{prefix}' || lpad(CAST({number} AS VARCHAR), {width}, '0')"
+    """Text id; numbers of more digits than ``width`` are not touched."""
+    text = f"CAST({number} AS VARCHAR)"
+    return f"'{prefix}' || repeat('0', greatest(0, {width} - length({text}))) || {text}"
 
 
 def cents(amount):
@@ -25,11 +27,11 @@ def money(c):
 
 def bits(tag, *keys):
     text = " || '-' || ".join([*[f"CAST({k} AS VARCHAR)" for k in keys], f"'{SEED}'", f"'{tag}'"])
-    return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+    return f"CAST('0x' || substr(md5({text}), 1, 13) AS BIGINT)"
 
 
 def draw(tag, *keys):
-    return f"({bits(tag, *keys)} / 4294967296e0)"
+    return f"({bits(tag, *keys)} / 4503599627370496e0)"
 
 
 def below(u, n):
@@ -205,7 +207,7 @@ def _line_step(ids, kind):
 
 STEPS |= {
     "made_line": f"""
-        {_line_step('SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem', 'base')}
+        {_line_step('SELECT range AS id FROM range((SELECT count(*) FROM lineitem))', 'base')}
         UNION ALL {_line_step('SELECT o_orderkey AS id FROM orders', 'promo')}""",
     "made_redirected": f"""
         SELECT transaction_id, line_number, transaction_date, store_idx, guest_idx, quantity, is_promo,
@@ -353,9 +355,15 @@ ORACLE["drill_across"] = """
       FROM g_sale GROUP BY ALL) d
       ON i.store_key = d.store_key AND i.product_key = d.product_key AND i.snapshot_date = d.transaction_date
     GROUP BY ALL"""
+STEPS["stocked"] = f"""
+    SELECT DISTINCT {key('S', 'l_suppkey')} AS store_id, {key('P', 'l_partkey')} AS product_id FROM lineitem"""
 ORACLE["inventory_grid"] = """
-    SELECT store_id, day_idx, count(*) AS cells, CAST(sum(p.range) AS BIGINT) AS product_idx_sum
-    FROM store_idx CROSS JOIN days CROSS JOIN range((SELECT count(*) FROM part)) p GROUP BY ALL"""
+    SELECT store_id, store_idx, product_id, day_idx FROM stocked JOIN store_idx USING (store_id) CROSS JOIN days"""
+ORACLE["dense_index_tied"] = """
+    SELECT o_orderpriority, min(n) AS first, max(n) AS last, count(DISTINCT n) AS numbers
+    FROM (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS n FROM orders) GROUP BY 1"""
+ORACLE["wide_ids"] = f"""
+    SELECT o_orderkey, {key('T', 'o_orderkey * 10000000019')} AS order_id FROM orders"""
 
 ORACLE["dense_index"] = """
     SELECT p_name, p_partkey, row_number() OVER (ORDER BY p_name, p_partkey) - 1 AS position FROM part"""
@@ -413,7 +421,7 @@ ORACLE["surrogate_keys"] = """
     FROM b_line"""
 ORACLE["fn_string"] = """
     SELECT c_custkey, c_name || ' of ' || c_mktsegment AS joined,
-           lpad(CAST(c_custkey AS VARCHAR), 3, '0') AS padded_or_cut, lower(c_name) AS lowered,
+           repeat('0', greatest(0, 3 - length(CAST(c_custkey AS VARCHAR)))) || CAST(c_custkey AS VARCHAR) AS padded, lower(c_name) AS lowered,
            trim('  ' || c_name || ' ') AS trimmed,
            '''' || replace('guest''s ' || c_name, '''', '''''') || '''' AS quoted,
            c_name || ', ' || c_mktsegment AS listed FROM customer"""
@@ -648,11 +656,8 @@ ORACLE["gen_transaction_lines"] = f"""
            {money('price')} AS unit_price, {money('disc')} AS discount_amount,
            {money('((price * quantity - disc) * 8 + 50) // 100')} AS tax_amount FROM made_priced"""
 ORACLE["gen_inventory"] = f"""
-    SELECT store_id, DATE '2024-01-01' + 42 + day_idx AS snapshot_date, count(*) AS cells,
-           CAST(sum(level) AS BIGINT) AS on_hand, min(level) AS least, max(level) AS most,
-           CAST(sum(level * CAST(substr(product_id, 2) AS BIGINT)) AS BIGINT) AS weighted
-    FROM (SELECT store_id, product_id, day_idx,
-                 {stock_level(draw('stock', 'store_idx', 'product_idx', 'day_idx'))} AS level
-          FROM store_idx CROSS JOIN product_idx CROSS JOIN days) GROUP BY ALL"""
+    SELECT store_id, product_id, DATE '2024-01-01' + 42 + day_idx AS snapshot_date,
+           {stock_level(draw('stock', 'store_idx', 'product_idx', 'day_idx'))} AS quantity_on_hand
+    FROM stocked JOIN store_idx USING (store_id) JOIN product_idx USING (product_id) CROSS JOIN days"""
 
 ORACLE = {name: re.sub(r"\s*\n\s*", " ", _with(sql)).strip() for name, sql in ORACLE.items()}

@@ -8,8 +8,9 @@ from tallymart import fixed_values as V
 from tallymart.functions import columns as C
 from tallymart.functions.names import name_udf
 from tallymart.operators import glossary, quality
-from tallymart.operators.index import dense_index, dense_index_scaled
-from tallymart.operators.joins import Join, drill_across, each_day, grid, resolve_index, star_join
+from tallymart.functions.stock import stock_level, stock_noise
+from tallymart.operators.index import dense_index
+from tallymart.operators.joins import Join, drill_across, each_day, resolve_index, star_join
 from tallymart.operators.sampling import resample_into, split_by, subset_index
 from tallymart.plans import generate, gold as G, questions as Q, reports
 from tallymart.plans.definitions import INVENTORY, SALES, VIEWS
@@ -179,9 +180,9 @@ def depletion(spark, d):
         C.id_text("S", "l_suppkey", WIDTH).alias("store_id"), C.id_text("P", "l_partkey", WIDTH).alias("product_id")
     ).distinct()
     cells = each_day(pairs.join(store, "store_id").join(READERS["product"](spark, d), "product_id"), V.STOCK_DAYS)
-    level = generate.stock_level(
+    level = stock_level(
         F.col("day_idx"), F.col("region"), F.col("category"),
-        C.draw(SEED, "stock", "store_id", "product_id", "day_idx"), "AFRICA", PROMO,
+        stock_noise(C.draw(SEED, "stock", "store_id", "product_id", "day_idx")), "AFRICA", PROMO,
     )
     return cells.groupBy("region", "category", "day_idx").agg(
         F.count(F.lit(1)).alias("cells"), F.sum(level).alias("on_hand"),
@@ -258,21 +259,19 @@ def drill_across_facts(spark, d):
     )
 
 
+def _assortment(spark, d) -> DataFrame:
+    """Store and product ids of every pair that ever sold."""
+    return scan(spark, d, "lineitem").select(
+        C.id_text("S", "l_suppkey", WIDTH).alias("store_id"), C.id_text("P", "l_partkey", WIDTH).alias("product_id")
+    ).distinct()
+
+
 @query
 def inventory_grid(spark, d):
-    """Every store, product and day; reported per store and day."""
-    store = dense_index(READERS["store"](spark, d), ["store_id"], "store_idx")
-    sizes = {
-        "store_idx": scan(spark, d, "supplier").count(),
-        "product_idx": scan(spark, d, "part").count(),
-        "day_idx": V.STOCK_DAYS,
-    }
-    cells = grid(spark, sizes)
-    return resolve_index(
-        cells.groupBy("store_idx", "day_idx").agg(
-            F.count(F.lit(1)).alias("cells"), F.sum("product_idx").alias("product_idx_sum")),
-        store, "store_idx", ["store_id"],
-    )
+    """Every stocked store and product on every day, by the store's index."""
+    store = dense_index(READERS["store"](spark, d).select("store_id"), ["store_id"], "store_idx")
+    return each_day(_assortment(spark, d).join(store, "store_id"), V.STOCK_DAYS).select(
+        "store_id", "store_idx", "product_id", "day_idx")
 
 
 # -- D: dense index and set operations --------------------------------------
@@ -291,10 +290,18 @@ def subset_index_products(spark, d):
     )
 
 
+@query
+def dense_index_tied(spark, d):
+    """Numbering on a key of five values: which numbers a value gets, whatever the order inside it."""
+    numbered = dense_index(scan(spark, d, "orders").select("o_orderpriority", "o_orderkey"), ["o_orderpriority"], "position")
+    return numbered.groupBy("o_orderpriority").agg(
+        F.min("position").alias("first"), F.max("position").alias("last"), F.countDistinct("position").alias("numbers"))
+
+
 @named("dense_index_scaled")
 def dense_index_orders(spark, d):
     """Scale-out numbering over a column with five values, then the key."""
-    return dense_index_scaled(
+    return dense_index(
         scan(spark, d, "orders").select("o_orderpriority", "o_orderkey"),
         ["o_orderpriority", "o_orderkey"], "position", partitions=16,
     )
@@ -388,13 +395,20 @@ def fn_string(spark, d):
     name = F.col("c_name")
     return scan(spark, d, "customer").select(
         "c_custkey", F.concat(name, F.lit(" of "), "c_mktsegment").alias("joined"),
-        F.lpad(F.col("c_custkey").cast("string"), 3, "0").alias("padded_or_cut"),
+        C.id_text("", "c_custkey", 3).alias("padded"),
         F.lower(name).alias("lowered"), F.trim(F.concat(F.lit("  "), name, F.lit(" "))).alias("trimmed"),
         glossary.quoted(F.concat(F.lit("guest's "), name)).alias("quoted"),
         F.array_join(F.array(name, F.col("c_mktsegment")), ", ").alias("listed"),
     )
 
 
+@query
+def wide_ids(spark, d):
+    """Ids of more digits than their usual width stay whole, so different keys keep different ids."""
+    number = F.col("o_orderkey") * 10_000_000_019
+    return scan(spark, d, "orders").select("o_orderkey", C.id_text("T", number, WIDTH).alias("order_id"))
+
+
 @query
 def hash_pick(spark, d):
     return scan(spark, d, "customer").select("c_custkey", C.pick(C.draw(SEED, "brand", "c_custkey"), V.BRANDS).alias("brand"))
@@ -403,8 +417,8 @@ def hash_pick(spark, d):
 @query
 def seeded_draw(spark, d):
     return scan(spark, d, "orders").select(
-        "o_orderkey", F.floor(C.draw(SEED, "one", "o_orderkey") * C.TWO_POW_32).alias("one_key"),
-        F.floor(C.draw(SEED, "two", "o_orderkey", "o_custkey") * C.TWO_POW_32).alias("two_keys"))
+        "o_orderkey", F.floor(C.draw(SEED, "one", "o_orderkey") * C.DRAWS).alias("one_key"),
+        F.floor(C.draw(SEED, "two", "o_orderkey", "o_custkey") * C.DRAWS).alias("two_keys"))
 
 
 @query
@@ -799,7 +813,8 @@ def gen_stores(spark, d):
 
 def _lines(spark, d) -> DataFrame:
     """A base line per sales line and a promotion line per order of the given tables."""
-    base = scan(spark, d, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
+    # order and line number repeat in the given lines, so lines are numbered
+    base = id_range(spark, scan(spark, d, "lineitem").count())
     n = {t: row_count(scan(spark, d, t)) for t in ("customer", "part", "supplier", "orders")}
     return generate.line_rows(
         base, _ids(spark, d, "orders", "o_orderkey"), SEED, START,
@@ -822,13 +837,8 @@ def gen_transaction_lines(spark, d):
 
 @query
 def gen_inventory(spark, d):
-    """Stock of every given store and product on every day, reported per store and day."""
-    stock = generate.gen_inventory(
-        spark, _masters(spark, d), scan(spark, d, "supplier").count(), scan(spark, d, "part").count(),
-        SEED, START, "AFRICA", PROMO)
-    on_hand = F.col("quantity_on_hand")
-    return stock.groupBy("store_id", "snapshot_date").agg(
-        F.count(F.lit(1)).alias("cells"), F.sum(on_hand).alias("on_hand"),
-        F.min(on_hand).alias("least"), F.max(on_hand).alias("most"),
-        F.sum(on_hand * F.substring("product_id", 2, WIDTH).cast("bigint")).alias("weighted"),
-    )
+    """Stock of every stocked store and product on every day."""
+    masters = _masters(spark, d)
+    pairs = _assortment(spark, d).join(masters["store"].select("store_id", "store_idx"), "store_id").join(
+        masters["product"].select("product_id", "product_idx"), "product_id")
+    return generate.gen_inventory(pairs.select("store_idx", "product_idx"), masters, SEED, START, "AFRICA", PROMO)

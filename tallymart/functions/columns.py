@@ -6,10 +6,12 @@ the same row whatever the partitioning.
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
+from itertools import accumulate
 
 from pyspark.sql import Column, functions as F
 
-TWO_POW_32 = 4294967296.0
+DRAW_HEX = 13  # hex digits of a digest that a draw uses: 52 bits, as many as a double holds below 1
+DRAWS = float(16 ** DRAW_HEX)
 
 
 def _col(c) -> Column:
@@ -28,8 +30,9 @@ def surrogate_key(*parts) -> Column:
 
 
 def id_text(prefix: str, number, width: int) -> Column:
-    """``prefix`` and the number padded with zeros. ``lpad`` cuts longer numbers, so pick ``width`` to fit."""
-    return F.concat(F.lit(prefix), F.lpad(_col(number).cast("string"), width, "0"))
+    """``prefix`` and the number with zeros in front up to ``width`` digits; a longer number stays whole."""
+    digits = _col(number).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
 # -- seeded draws -----------------------------------------------------------
@@ -41,8 +44,8 @@ def draw(seed: int, tag: str, *keys) -> Column:
     run again gives the same rows.
     """
     text = F.concat_ws("-", *[_col(k).cast("string") for k in keys], F.lit(str(seed)), F.lit(tag))
-    bits = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-    return bits / F.lit(TWO_POW_32)
+    bits = F.conv(F.substring(F.md5(text), 1, DRAW_HEX), 16, 10).cast("bigint")
+    return bits / F.lit(DRAWS)
 
 
 def draw_below(draw_col, n) -> Column:
@@ -62,20 +65,11 @@ def pick_from(draw_col, options: Column) -> Column:
     return F.element_at(options, (draw_below(draw_col, F.size(options)) + 1).cast("int"))
 
 
-def weighted_pick(draw_col: str, values: Sequence[str], weights: Sequence[float]) -> Column:
-    """One of ``values`` with the given shares.
-
-    Takes the *name* of an existing column, so that every branch compares the
-    very same draw.
-    """
-    r = F.col(draw_col)
-    edge = Decimal(0)
-    chain = None
-    for value, weight in zip(values[:-1], weights[:-1], strict=True):
-        edge += Decimal(str(weight))
-        hit = r < F.lit(float(edge))
-        chain = F.when(hit, value) if chain is None else chain.when(hit, value)
-    return F.lit(values[-1]) if chain is None else chain.otherwise(values[-1])
+def weighted_pick(draw_col, values: Sequence[str], weights: Sequence[float]) -> Column:
+    """One of ``values`` with the given shares: as many shares are used up as running totals lie below the draw."""
+    ends = list(accumulate(Decimal(str(w)) for w in weights))[:-1]
+    passed = F.filter(F.array(*[F.lit(float(e)) for e in ends]).cast("array<double>"), lambda end: end <= _col(draw_col))
+    return F.element_at(F.array(*[F.lit(v) for v in values]), F.size(passed) + 1)
 
 
 # -- lookups and conditionals -----------------------------------------------
@@ -90,11 +84,7 @@ def lookup(mapping: Mapping) -> Column:
 
 def band(col, mapping: Mapping[str, float]) -> Column:
     """Number for a text value; NULL when the text is not in the mapping."""
-    chain = None
-    for text, number in mapping.items():
-        hit = _col(col) == text
-        chain = F.when(hit, F.lit(number)) if chain is None else chain.when(hit, F.lit(number))
-    return chain
+    return lookup(mapping)[_col(col)]
 
 
 def is_blank(col) -> Column:

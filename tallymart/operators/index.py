@@ -6,44 +6,26 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.tables import durable
 
-ONE_TASK_ROWS = 100_000
-ROWS_PER_PART = 500_000
-MOST_PARTS = 100_000
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 
 
-def dense_index(
-    df: DataFrame, order_by: Sequence[str], name: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """Add ``name`` = 0..n-1 in the given order.
-
-    A frame that is shown to hold at most ``one_task_rows`` rows is numbered by a
-    plain window; any larger one goes to ``dense_index_scaled``.
-    """
-    if df.count() > one_task_rows:
-        return dense_index_scaled(df, order_by, name)
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*order_by)) - 1)
-
-
-def dense_index_scaled(
-    df: DataFrame, order_by: Sequence[str], name: str, partitions: int | None = None
-) -> DataFrame:
-    """Same numbers as ``dense_index`` without a single-task window.
+def dense_index(df: DataFrame, order_by: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = 0..n-1 in the given order, without a single-task step over the rows.
 
     Rows are range-partitioned and sorted, which fixes each row's partition and
     its position there. That frame is frozen in the checkpoint folder, since two
     passes over it must agree. Then only the partition sizes (one row per
-    partition) are summed up and sent back to the rows. Ties are spread by a
-    row hash and a row id, so a repeated key does not fill one partition. The
-    number of partitions grows with the rows unless it is given.
+    partition) are summed up and sent back to the rows.
+
+    Rows that tie are ordered by a hash of the whole row, so the numbers depend on
+    the rows alone, not on their number or layout, and a repeated key does not fill one partition.
+    Equal rows come one after the other. ``partitions`` defaults to the session's number of shuffle partitions.
     """
-    n = partitions or min(MOST_PARTS, max(1, -(-df.count() // ROWS_PER_PART)))
     spread = [*order_by, "_tie_hash", "_tie_id"]
+    tied = df.withColumn("_tie_hash", F.xxhash64(*df.columns)).withColumn("_tie_id", F.monotonically_increasing_id())
+    ranged = tied.repartitionByRange(partitions, *spread) if partitions else tied.repartitionByRange(*spread)
     placed = durable(
-        df.withColumn("_tie_hash", F.xxhash64(*df.columns))
-        .withColumn("_tie_id", F.monotonically_increasing_id())
-        .repartitionByRange(n, *spread)
-        .sortWithinPartitions(*spread)
+        ranged.sortWithinPartitions(*spread)
         .drop("_tie_hash", "_tie_id")
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftrightunsigned("_place", _ROW_BITS))
@@ -56,7 +38,7 @@ def dense_index_scaled(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
-    # one row per partition, so the broadcast is bounded by ``partitions``
+    # one row of two numbers per partition
     return (
         placed.join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + F.col("_row"))

@@ -54,14 +54,15 @@ def resolve_index(df: DataFrame, master: DataFrame, index: str, columns: Sequenc
 def grid(spark: SparkSession, sizes: Mapping[str, int], parts: int | None = None) -> DataFrame:
     """Every combination of index values 0..n-1, the last name varying fastest.
 
-    Made from one range by division and remainder: no join and no shuffle.
+    Made from one range by division and remainder: no join and no shuffle. The output
+    has the product of all sizes, so this is for a full assortment that somebody asks for, not for joins.
     """
     step = prod(sizes.values())
     out = id_range(spark, step, parts)
     columns = []
     for name, n in sizes.items():
         inner = step // n
-        columns.append(F.expr(f"cast(id % {step} div {inner} as int)").alias(name))
+        columns.append(F.expr(f"cast(id % {step} div {inner} as bigint)").alias(name))
         step = inner
     return out.select(*columns)
 

@@ -1,5 +1,6 @@
 """Ranges, table scans, typed output and table writes."""
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping
@@ -64,6 +65,8 @@ def write_table(
 ) -> DataFrame:
     """Replace table ``ref`` (a name or a parquet folder) with ``df`` and return a scan of it.
 
+    A folder is written beside the old one and then takes its place, so a failed write leaves the old table.
+
     ``cluster_by`` gathers equal values in the same files and sorts each file, so
     that row-group statistics prune scans. It uses a rebalance, which splits a
     value that holds a large share of the rows over several files and merges small
@@ -84,7 +87,9 @@ def write_table(
     if _is_path(ref):
         if bucket_by:
             raise ValueError("buckets need a table name, not a path")
-        writer.save(ref)
+        fresh = f"{ref.rstrip('/')}.new-{uuid.uuid4().hex}"
+        writer.save(fresh)
+        _swap_in(spark, fresh, ref.rstrip("/"))
     else:
         if bucket_by:
             n, columns = bucket_by
@@ -121,15 +126,36 @@ def row_count(df: DataFrame) -> Column:
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a temporary folder.
+    A session on one machine that names none gets a temporary folder; on a cluster that is an
+    error, as each executor would write to its own disk.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or tempfile.mkdtemp(prefix="tallymart-")
+    if named:
+        return named
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if _LOCAL_FOLDER not in _MADE:
+        _MADE[_LOCAL_FOLDER] = tempfile.mkdtemp(prefix="tallymart-")
+    return _MADE[_LOCAL_FOLDER]
+
+
+_LOCAL_FOLDER = "local"
+_MADE: dict[str, str] = {}
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop path and its file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:
-    """Unused path in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tallymart-{uuid.uuid4().hex}/{name}"
+    """Unused path in the shared folder; what is written there goes when the session's JVM ends."""
+    folder = f"{shared_folder(spark).rstrip('/')}/tallymart-{uuid.uuid4().hex}"
+    where, files = _file_system(spark, folder)
+    files.mkdirs(where)
+    files.deleteOnExit(where)
+    return f"{folder}/{name}"
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -138,3 +164,19 @@ def durable(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def _swap_in(spark: SparkSession, fresh: str, ref: str) -> None:
+    """Put the folder ``fresh`` in the place of ``ref``; readers see the old or the new table."""
+    new, files = _file_system(spark, fresh)
+    now, _ = _file_system(spark, ref)
+    old, _ = _file_system(spark, f"{ref}.old-{uuid.uuid4().hex}")
+    had = files.exists(now)
+    if had and not files.rename(now, old):
+        raise OSError(f"cannot move {ref} aside")
+    if not files.rename(new, now):
+        if had:
+            files.rename(old, now)
+        raise OSError(f"cannot move {fresh} to {ref}")
+    if had:
+        files.delete(old, True)

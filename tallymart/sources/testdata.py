@@ -6,7 +6,9 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .. import fixed_values as V
 from ..functions.columns import cents, id_text, money
+from ..functions.stock import stock_level
 from ..operators.joins import each_day
 from ..schemas import BRONZE
 from .tables import Tables, conform
@@ -15,20 +17,21 @@ ID_WIDTH = 9
 FIRST_SIGNUP = date(2022, 1, 1)
 FIRST_OPENING = date(2015, 1, 1)
 STOCK_START = date(1998, 2, 12)
-STOCK_DAYS = 14
 DEPLETED_REGION = "AFRICA"
 FOCUS_CATEGORY = "PROMO"
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
+_SCHEMAS: dict[str, tuple[int, T.StructType]] = {}
 
 
 def scan(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """One given table. Its schema is read from the file once per process, then reused."""
+    """One given table. Its schema is read from the file again only when the file is newer."""
     path = f"{folder}/{table}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written = where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).getModificationTime()
+    if _SCHEMAS.get(path, (None,))[0] != written:
+        _SCHEMAS[path] = (written, spark.read.parquet(path).schema)
+    return spark.read.schema(_SCHEMAS[path][1]).parquet(path)
 
 
 def _places(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,19 +128,16 @@ def inventory_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     part = scan(spark, folder, "part").select("p_partkey", "p_type")
     day = F.col("day_idx")
     noise = (F.col("l_suppkey") * 31 + F.col("l_partkey") * 17 + day * 7) % 11 - 5
-    focus = F.col("p_type") == FOCUS_CATEGORY
-    on_hand = F.when(
-        (F.col("r_name") == DEPLETED_REGION) & focus, F.greatest(F.lit(0), 18 - 2 * day)
-    ).otherwise(F.greatest(F.lit(0), F.when(focus, 60).otherwise(120) + noise))
+    on_hand = stock_level(day, F.col("r_name"), F.col("p_type"), noise, DEPLETED_REGION, FOCUS_CATEGORY)
     named = (
         pairs.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(shop, F.col("l_suppkey") == F.col("s_suppkey"))
         .withColumn("store_id", id_text("S", "l_suppkey", ID_WIDTH))
         .withColumn("product_id", id_text("P", "l_partkey", ID_WIDTH))
     )
-    df = each_day(named, STOCK_DAYS).select(
+    df = each_day(named, V.STOCK_DAYS).select(
         F.date_add(F.lit(STOCK_START), day).alias("snapshot_date"), "store_id", "product_id",
-        on_hand.cast("int").alias("quantity_on_hand"),
+        on_hand.alias("quantity_on_hand"),
     )
     return conform(df, BRONZE["inventory_snapshot"])
 

@@ -22,9 +22,19 @@ def test_surrogate_key(spark):
     assert one(spark, C.surrogate_key(F.lit(None).cast("string"))) is None
 
 
-def test_id_text_cuts_long_numbers(spark):
+def test_id_text_never_cuts(spark):
     assert one(spark, C.id_text("G", F.lit(7), 4)) == "G0007"
-    assert one(spark, C.id_text("G", F.lit(123456), 4)) == "G1234"
+    assert one(spark, C.id_text("G", F.lit(123456), 4)) == "G123456"
+    ids = spark.createDataFrame([(1234567890,), (1234567899,)], "n bigint").select(C.id_text("T", "n", 9).alias("x"))
+    assert ids.distinct().count() == 2
+
+
+def test_draws_reach_every_row_of_a_large_table(spark):
+    n = 10 ** 10
+    picks = spark.range(20_000).select(C.draw_below(C.draw(1, "wide", "id"), n).alias("i"))
+    # indexes that 32 bits could give are at least two apart and miss more than half of all rows
+    missed = picks.filter(F.ceil(F.col("i") * 2.0 ** 32 / n) * n / 2.0 ** 32 >= F.col("i") + 1).count()
+    assert missed > 5_000
 
 
 def test_draw_is_stable_and_even(spark):

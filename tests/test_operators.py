@@ -4,7 +4,7 @@ from pyspark.sql import functions as F, types as T
 
 from tallymart.functions.columns import draw
 from tallymart.operators import glossary, quality
-from tallymart.operators.index import dense_index, dense_index_scaled
+from tallymart.operators.index import dense_index
 from tallymart.operators.joins import Join, drill_across, each_day, grid, resolve_index, star_join
 from tallymart.operators.sampling import resample_into, split_by, subset_index
 from tallymart.sources import tables as S
@@ -72,6 +72,27 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.sql("DROP SCHEMA tallymart_test CASCADE")
 
 
+def test_failed_write_leaves_the_old_table(spark, tmp_path):
+    ref = str(tmp_path / "t")
+    S.write_table(spark.range(10), ref)
+    with pytest.raises(Exception, match="stop"):
+        S.write_table(spark.range(10).select(F.raise_error(F.lit("stop")).cast("bigint").alias("id")), ref)
+    assert rows(S.read_bronze(spark, ref)) == [(i,) for i in range(10)]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        S.shared_folder(Session())
+
+
 def test_row_count_is_lazy_and_exact(spark):
     df = spark.range(5).withColumn("n", S.row_count(spark.range(123)))
     assert {r.n for r in df.collect()} == {123}
@@ -86,15 +107,21 @@ def test_tables_are_made_on_demand(spark):
 
 # -- dense index ------------------------------------------------------------
 
-@pytest.mark.parametrize("parts", [1, 3, 7])
-def test_scaled_index_equals_window_index(spark, parts):
+@pytest.mark.parametrize("parts", [None, 1, 3, 7])
+def test_index_follows_the_order(spark, parts):
     df = spark.range(0, 1000, 1, 5).select(F.concat(F.lit("k"), F.lpad(F.col("id") * 7919 % 1000, 4, "0")).alias("k"))
-    assert rows(dense_index_scaled(df, ["k"], "i", parts)) == rows(dense_index(df, ["k"], "i"))
+    assert rows(dense_index(df, ["k"], "i", parts)) == [(f"k{i:04}", i) for i in range(1000)]
+
+
+def test_ties_are_numbered_alike_whatever_the_layout_and_size(spark):
+    df = spark.range(40).select((F.col("id") % 3).alias("k"), "id")
+    one = rows(dense_index(df.repartition(1), ["k"], "i", 1))
+    assert rows(dense_index(df.repartition(9), ["k"], "i", 5)) == one == rows(dense_index(df, ["k"], "i"))
 
 
 def test_scaled_index_spreads_a_hot_key(spark):
     df = spark.range(0, 3000, 1, 4).withColumn("k", F.when(F.col("id") < 2500, 5).otherwise(F.col("id")))
-    out = dense_index_scaled(df, ["k"], "i", 8).cache()
+    out = dense_index(df, ["k"], "i", 8).cache()
     assert sorted(r.i for r in out.collect()) == list(range(3000))
     assert out.orderBy("i").select("k").collect() == df.orderBy("k").select("k").collect()
     biggest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
@@ -103,12 +130,8 @@ def test_scaled_index_spreads_a_hot_key(spark):
 
 def test_index_of_exact_copies(spark):
     df = spark.createDataFrame([(1,)] * 500 + [(2,)] * 10, "k int")
-    assert sorted(r.i for r in dense_index_scaled(df, ["k"], "i", 4).collect()) == list(range(510))
-
+    assert sorted(r.i for r in dense_index(df, ["k"], "i", 4).collect()) == list(range(510))
 
-def test_large_frames_leave_the_one_task_path(spark):
-    df = spark.range(0, 200, 1, 4)
-    assert rows(dense_index(df, ["id"], "i", one_task_rows=50)) == [(i, i) for i in range(200)]
 
 
 def test_subset_index(spark):
