@@ -165,9 +165,16 @@ STEPS |= {
     "u_line": """
         SELECT * REPLACE (
           CASE WHEN line_number = 3 THEN -quantity ELSE quantity END AS quantity,
+          CASE WHEN line_number = 4 THEN NULL ELSE store_id END AS store_id,
           CASE WHEN line_number = 5 THEN NULL ELSE guest_id END AS guest_id,
+          CASE WHEN line_number = 6 THEN NULL ELSE product_id END AS product_id,
           CASE WHEN line_number = 7 THEN NULL ELSE transaction_id END AS transaction_id) FROM b_line""",
-    "u_stock": "SELECT * REPLACE (quantity_on_hand - 62 AS quantity_on_hand) FROM b_stock",
+    "u_stock": """
+        SELECT * REPLACE (
+          CASE WHEN quantity_on_hand % 17 = 5 THEN NULL ELSE snapshot_date END AS snapshot_date,
+          CASE WHEN quantity_on_hand % 11 = 5 THEN NULL ELSE store_id END AS store_id,
+          CASE WHEN quantity_on_hand % 13 = 5 THEN NULL ELSE product_id END AS product_id,
+          quantity_on_hand - 62 AS quantity_on_hand) FROM b_stock""",
 }
 STEPS |= gold_steps("u_", "ug_")
 STEPS |= {
@@ -453,7 +460,9 @@ ORACLE["subcategory_pick"] = f"""
 ORACLE["fake_names"] = f"""
     SELECT c_custkey, {pick(draw('first_name', 'c_custkey'), V.FIRST_NAMES)} AS first_name,
            {pick(draw('last_name', 'c_custkey'), V.LAST_NAMES)} AS last_name,
-           {pick(draw('city', 'c_custkey'), V.CITIES)} AS city FROM customer"""
+           {pick(draw('city', 'c_custkey'), V.CITIES)} AS city,
+           chr(65 + CAST(c_custkey % 26 AS INTEGER)) || chr(65 + CAST(c_custkey // 26 % 26 AS INTEGER))
+           || chr(65 + CAST(c_custkey // 676 % 26 AS INTEGER)) AS code FROM customer"""
 
 # row rules and audits
 ORACLE["quality_kept"] = """
@@ -485,7 +494,7 @@ ORACLE["quality_quarantine"] = """
     SELECT * FROM (
       SELECT transaction_id, line_number, guest_id, product_id, quantity, concat_ws(',',
         CASE WHEN transaction_id IS NULL THEN 'valid_line_key' END,
-        CASE WHEN guest_id IS NULL THEN 'valid_keys' END,
+        CASE WHEN guest_id IS NULL OR product_id IS NULL OR store_id IS NULL THEN 'valid_keys' END,
         CASE WHEN NOT quantity > 0 THEN 'non_negative_quantity' END) AS failed_rules FROM u_line)
     WHERE failed_rules <> ''"""
 _KEYS = [("dim_guest", "g_guest", "guest_key"), ("dim_product", "g_product", "product_key"),
@@ -514,11 +523,22 @@ ORACLE["cardinality_audit"] = "\nUNION ALL\n".join(f"""
     FROM (SELECT count(*) AS n FROM {s} WHERE {k} IS NOT NULL GROUP BY {k})""" for c, p, s, k in [
         *[(c, p, f"g_{k}", f"{k}_key") for c, p, _, k in _LINKS],
         ("fact_transaction", "fact_transaction", "g_sale", "transaction_line_key")])
+ORACLE["model_summary"] = "\nUNION ALL\n".join(f"""
+    SELECT '{c}' AS child, '{p}' AS parent, '{k}_key' AS join_key, count(f.{k}_key) AS child_rows,
+           count(*) - count(f.{k}_key) AS null_rows, count(d.{k}_key) AS matched_rows,
+           count(f.{k}_key) - count(d.{k}_key) AS orphan_rows,
+           count(DISTINCT f.{k}_key) - count(DISTINCT d.{k}_key) AS orphan_keys,
+           (SELECT count(DISTINCT {k}_key) FROM ug_{k}) AS parent_keys,
+           (SELECT count(DISTINCT {k}_key) FROM ug_{k}) - count(DISTINCT d.{k}_key) AS unused_keys
+    FROM ug_{f} f LEFT JOIN ug_{k} d ON f.{k}_key = d.{k}_key""" for c, p, f, k in _LINKS)
 ORACLE["not_null_audit"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS null_rows FROM {s}"
-    for t, s, c in [("guest", "u_guest", "guest_id"), ("product", "u_product", "product_id"),
-                    ("store", "u_store", "store_id"), ("transaction_line", "u_line", "transaction_id"),
-                    ("inventory_snapshot", "u_stock", "snapshot_date")])
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({e}) AS null_rows FROM {s}"
+    for t, s, key, parts in [
+        ("guest", "u_guest", "guest_key", ["guest_id"]), ("product", "u_product", "product_key", ["product_id"]),
+        ("store", "u_store", "store_key", ["store_id"]),
+        ("transaction_line", "u_line", "transaction_line_key", ["transaction_id", "line_number"]),
+        ("inventory_snapshot", "u_stock", "inventory_key", ["snapshot_date", "store_id", "product_id"])]
+    for c, e in [(key, " || ".join(f"CAST({x} AS VARCHAR)" for x in parts)), *[(x, x) for x in parts]])
 
 # gold tables and metrics
 for _name, _step in [("dim_guest", "g_guest"), ("dim_product", "g_product"), ("dim_store", "g_store"),
@@ -580,16 +600,25 @@ ORACLE["products_per_brand"] = "SELECT brand, count(*) AS products FROM g_produc
 
 # glossary
 ORACLE["column_profile"] = "SELECT * FROM profile"
-ORACLE["column_profile_sketch"] = "SELECT * EXCLUDE (distinct_count) FROM profile"
+ORACLE["column_profile_sketch"] = "SELECT * EXCLUDE (distinct_count), true AS estimate_close FROM profile"
 _SIZES = {"dim_store": "g_store", "fact_inventory": "g_stock"}
 assert set(_SIZES) <= set(TABLE_COMMENTS)
 ORACLE["table_gaps"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {s}" for t, s in _SIZES.items())
 ORACLE["column_gaps"] = """
     SELECT table_name, column_name, data_type, row_count, null_count, distinct_count FROM gaps"""
-ORACLE["column_lists"] = """
-    SELECT table_name, string_agg(column_name, ', ' ORDER BY position) AS columns
-    FROM meta JOIN profile USING (table_name, column_name) WHERE null_count < row_count GROUP BY 1"""
+STEPS["lists"] = """
+    SELECT table_name, string_agg(column_name, ', ' ORDER BY position) AS columns, max(row_count) AS row_count,
+           count(*) FILTER (null_count = row_count) AS empty_columns
+    FROM meta JOIN profile USING (table_name, column_name) GROUP BY 1"""
+STEPS["new_tables"] = """
+    SELECT table_name, table_name || ': ' || row_count || ' rows with ' || columns || '.' AS draft
+    FROM lists WHERE table_name IN ('dim_store', 'fact_inventory')"""
+ORACLE["column_lists"] = "SELECT * FROM lists"
+ORACLE["table_drafts"] = "SELECT * FROM new_tables"
+ORACLE["table_statements"] = """
+    SELECT table_name, 'COMMENT ON TABLE ' || table_name || ' IS ''' || replace(draft, '''', '''''') || '''' AS statement
+    FROM new_tables"""
 ORACLE["gap_prompts"] = """
     SELECT table_name, column_name, 'Say in one short sentence what column ''' || column_name || ''' (' || data_type
            || ') of the retail table ''' || table_name || ''' means.' AS prompt, row_count FROM gaps"""
@@ -599,22 +628,20 @@ ORACLE["gap_statements"] = """
            || replace(draft, '''', '''''') || '''' AS statement FROM drafts"""
 ORACLE["table_prompts"] = """
     SELECT table_name, 'Say in one sentence what the retail table ''' || table_name || ''' is for. Its columns are: '
-           || string_agg(column_name, ', ' ORDER BY position) || '.' AS prompt
-    FROM meta JOIN profile USING (table_name, column_name) WHERE null_count < row_count GROUP BY table_name"""
+           || columns || '.' AS prompt, row_count
+    FROM lists"""
 ORACLE["glossary_filled"] = """
     SELECT table_name, column_name, data_type, position, coalesce(comment, draft) AS comment
     FROM meta LEFT JOIN drafts USING (table_name, column_name)
     UNION ALL SELECT table_name, column_name, data_type, position, comment FROM metric_meta"""
 ORACLE["entity_values"] = """
     SELECT * FROM lookup_values
-    UNION ALL SELECT 'sales_metrics', 'Product Category', category, count(*) FROM sales_dims GROUP BY ALL
-    UNION ALL SELECT 'sales_metrics', 'Product Subcategory', subcategory, count(*) FROM sales_dims GROUP BY ALL
-    UNION ALL SELECT 'sales_metrics', 'Store Region', region, count(*) FROM sales_dims GROUP BY ALL
-    UNION ALL SELECT 'sales_metrics', 'Store District', district, count(*) FROM sales_dims GROUP BY ALL
-    UNION ALL SELECT 'inventory_metrics', 'Product Category', category, count(*) FROM stock_dims GROUP BY ALL
-    UNION ALL SELECT 'inventory_metrics', 'Store Region', region, count(*) FROM stock_dims GROUP BY ALL"""
-STEPS["sales_dims"] = "SELECT DISTINCT category, subcategory, region, district FROM s_wide"
-STEPS["stock_dims"] = "SELECT DISTINCT category, region FROM i_wide"
+    UNION ALL SELECT 'sales_metrics', 'Product Category', category, count(*) FROM s_wide GROUP BY ALL
+    UNION ALL SELECT 'sales_metrics', 'Product Subcategory', subcategory, count(*) FROM s_wide GROUP BY ALL
+    UNION ALL SELECT 'sales_metrics', 'Store Region', region, count(*) FROM s_wide GROUP BY ALL
+    UNION ALL SELECT 'sales_metrics', 'Store District', district, count(*) FROM s_wide GROUP BY ALL
+    UNION ALL SELECT 'inventory_metrics', 'Product Category', category, count(*) FROM i_wide GROUP BY ALL
+    UNION ALL SELECT 'inventory_metrics', 'Store Region', region, count(*) FROM i_wide GROUP BY ALL"""
 ORACLE["entity_match"] = """
     SELECT term, table_name, column_name, value FROM (
       SELECT ' ' || lower(r_name) || '  ' AS term FROM region UNION SELECT ' ' || lower(n_name) || '  ' FROM nation

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallymart import fixed_values as V
 from tallymart.functions import columns as C
-from tallymart.functions.names import name_udf
+from tallymart.functions.names import letter_code, name_udf
 from tallymart.operators import glossary, quality
 from tallymart.functions.stock import stock_level, stock_noise
 from tallymart.operators.index import dense_index
@@ -479,14 +479,13 @@ def subcategory_pick(spark, d):
 
 @query
 def fake_names(spark, d):
-    """Names from a vectorised Python function; the index into the pool is drawn in Spark."""
-    first, last, city = name_udf(V.FIRST_NAMES), name_udf(V.LAST_NAMES), name_udf(V.CITIES)
-    def slot(tag, pool):
-        return C.draw_below(C.draw(SEED, tag, "c_custkey"), len(pool))
+    """Names drawn from pools in Spark, and a code that a Python function makes a batch at a time."""
+    def drawn(tag, pool):
+        return C.pick(C.draw(SEED, tag, "c_custkey"), pool).alias(tag)
 
     return scan(spark, d, "customer").select(
-        "c_custkey", first(slot("first_name", V.FIRST_NAMES)).alias("first_name"),
-        last(slot("last_name", V.LAST_NAMES)).alias("last_name"), city(slot("city", V.CITIES)).alias("city"))
+        "c_custkey", drawn("first_name", V.FIRST_NAMES), drawn("last_name", V.LAST_NAMES), drawn("city", V.CITIES),
+        name_udf(letter_code)("c_custkey").alias("code"))
 
 
 # -- H: row rules and audits ------------------------------------------------
@@ -512,15 +511,22 @@ def unclean(spark, d) -> Tables:
     def line():
         df = b["transaction_line"].withColumn("quantity", F.when(
             F.col("line_number") == 3, -F.col("quantity")).otherwise(F.col("quantity")))
-        return blank(blank(df, "guest_id", F.col("line_number") == 5), "transaction_id", F.col("line_number") == 7)
+        for column, number in {"store_id": 4, "guest_id": 5, "product_id": 6, "transaction_id": 7}.items():
+            df = blank(df, column, F.col("line_number") == number)
+        return df
+
+    def stock():
+        df = b["inventory_snapshot"].withColumn("_level", F.col("quantity_on_hand"))
+        for column, rest in {"store_id": 11, "product_id": 13, "snapshot_date": 17}.items():
+            df = blank(df, column, F.col("_level") % rest == 5)
+        return df.withColumn("quantity_on_hand", F.col("_level") - 62).drop("_level")
 
     return Tables({
         "guest": guest,
         "product": product,
         "store": lambda: blank(b["store"], "store_id", F.col("district") == "NATION_3"),
         "transaction_line": line,
-        "inventory_snapshot": lambda: b["inventory_snapshot"].withColumn(
-            "quantity_on_hand", F.col("quantity_on_hand") - 62),
+        "inventory_snapshot": stock,
     })
 
 
@@ -572,15 +578,27 @@ def cardinality_audit(spark, d):
     return reports.cardinality(gold_of(spark, d), (line_key,))
 
 
+@query
+def model_summary(spark, d):
+    """What tables there are and how they are connected, over the frames with planted faults."""
+    return reports.model_summary(G.build_gold(unclean(spark, d)))
+
+
+KEY_PARTS = {
+    "guest": ("guest_key", ["guest_id"]), "product": ("product_key", ["product_id"]), "store": ("store_key", ["store_id"]),
+    "transaction_line": ("transaction_line_key", ["transaction_id", "line_number"]),
+    "inventory_snapshot": ("inventory_key", ["snapshot_date", "store_id", "product_id"]),
+}
+
+
 @query
 def not_null_audit(spark, d):
-    """NULLs in the ids behind the required keys, before any row is dropped."""
+    """NULLs in the required keys and in every part of them, before any row is dropped; one pass per table."""
     b = unclean(spark, d)
-    ids = {"guest": "guest_id", "product": "product_id", "store": "store_id", "transaction_line": "transaction_id",
-           "inventory_snapshot": "snapshot_date"}
     return union_all(
-        quality.audit_not_null(b[t], [c]).withColumnRenamed("column", "column_name").withColumn("table_name", F.lit(t))
-        for t, c in ids.items()
+        quality.audit_not_null(b[t].withColumn(key, C.surrogate_key(*parts)), [key, *parts])
+        .withColumnRenamed("column", "column_name").withColumn("table_name", F.lit(t))
+        for t, (key, parts) in KEY_PARTS.items()
     )
 
 
@@ -719,35 +737,52 @@ def column_profile(spark, d):
 
 @query
 def column_profile_sketch(spark, d):
-    """The one-pass profile; its distinct counts are estimates and are left out here."""
-    return glossary.profile_tables(gold_of(spark, d)).drop("distinct_count")
+    """The one-pass profile, and whether its distinct counts are within a fifth of the exact ones."""
+    gold = gold_of(spark, d)
+    exact = glossary.profile_tables(gold, distinct="exact").select(
+        "table_name", "column_name", F.col("distinct_count").alias("exact"))
+    off = F.abs(F.col("distinct_count") - F.col("exact"))
+    return glossary.profile_tables(gold).join(exact, ["table_name", "column_name"]).withColumn(
+        "estimate_close", off <= F.col("exact") / 5).drop("distinct_count", "exact")
+
+
+# two comments are taken away to have gaps
+GAPPED = {**TABLE_COMMENTS, "dim_store": None, "fact_inventory": "  "}
 
 
 @query
 def table_gaps(spark, d):
-    """Tables without a comment, with their row counts. Two comments are taken away to have gaps."""
-    comments = {**TABLE_COMMENTS, "dim_store": None, "fact_inventory": "  "}
-    sizes = union_all(
-        df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(t))
-        for t, df in gold_of(spark, d).items())
-    gaps = glossary.find_gaps(glossary.describe_tables(spark, comments), "table_comment")
-    return gaps.join(sizes, "table_name").select("table_name", "row_count")
+    """Tables without a comment, with their row counts; only those tables are read."""
+    gold, gaps = gold_of(spark, d), glossary.uncommented_tables(GAPPED)
+    return union_all(
+        gold[t].agg(F.count(F.lit(1)).alias("row_count")).withColumn("table_name", F.lit(t)) for t in gaps)
 
 
 @query
 def column_gaps(spark, d):
-    return reports.column_gaps(spark, gold_of(spark, d)).select(
+    return reports.column_gaps(spark, gold_of(spark, d), "exact").select(
         "table_name", "column_name", "data_type", "row_count", "null_count", "distinct_count")
 
 
 @query
 def column_lists(spark, d):
-    return reports.used_columns(spark, gold_of(spark, d))
+    return reports.column_lists(spark, gold_of(spark, d))
 
 
 @query
 def table_prompts(spark, d):
-    return reports.used_columns(spark, gold_of(spark, d)).select("table_name", glossary.table_prompt().alias("prompt"))
+    return reports.column_lists(spark, gold_of(spark, d)).select(
+        "table_name", glossary.table_prompt().alias("prompt"), "row_count")
+
+
+@query
+def table_drafts(spark, d):
+    return reports.table_drafts(spark, gold_of(spark, d), GAPPED).select("table_name", "draft")
+
+
+@query
+def table_statements(spark, d):
+    return glossary.table_statements(reports.table_drafts(spark, gold_of(spark, d), GAPPED))
 
 
 @query
@@ -758,25 +793,27 @@ def gap_prompts(spark, d):
 
 @query
 def gap_drafts(spark, d):
-    return reports.column_drafts(spark, gold_of(spark, d)).select("table_name", "column_name", "draft")
+    return reports.column_drafts(spark, gold_of(spark, d), distinct="exact").select("table_name", "column_name", "draft")
 
 
 @query
 def gap_statements(spark, d):
-    return glossary.comment_statements(reports.column_drafts(spark, gold_of(spark, d)))
+    return glossary.comment_statements(reports.column_drafts(spark, gold_of(spark, d), distinct="exact"))
 
 
 @query
 def glossary_filled(spark, d):
     """Comments of all columns and metrics; only the gaps get a draft."""
-    return reports.dictionary(spark, gold_of(spark, d))
+    return reports.dictionary(spark, gold_of(spark, d), distinct="exact")
 
 
 @query
 def entity_values(spark, d):
+    """Names that people ask for, with the rows that carry each: of the tables, and of the views' labels."""
     g = gold_of(spark, d)
-    views = {n: metric_query(VIEWS[n], g, dims) for n, dims in LOOKUP_DIMENSIONS.items()}
-    return glossary.entity_values({**g, **views}, {**LOOKUP_COLUMNS, **LOOKUP_DIMENSIONS})
+    views = union_all(
+        reports.view_values(VIEWS[n], g, dims).withColumn("table_name", F.lit(n)) for n, dims in LOOKUP_DIMENSIONS.items())
+    return glossary.entity_values(g, LOOKUP_COLUMNS).unionByName(views)
 
 
 @query

@@ -82,6 +82,16 @@ def uncommented(schemas: Mapping[str, T.StructType]) -> dict[str, list[str]]:
     return {t: names for t, names in gaps.items() if names}
 
 
+def schemas_of(tables: Mapping[str, DataFrame]) -> dict[str, T.StructType]:
+    """Schemas as the tables have them now, so a column added later is seen like any other."""
+    return {name: tables[name].schema for name in tables}
+
+
+def uncommented_tables(comments: Mapping[str, str | None]) -> list[str]:
+    """Names of tables whose comment is missing or blank."""
+    return [t for t, c in comments.items() if not (c or "").strip()]
+
+
 # -- metadata ---------------------------------------------------------------
 
 def describe_columns(spark: SparkSession, schemas: Mapping[str, T.StructType]) -> DataFrame:
@@ -141,6 +151,11 @@ def plain_draft(_prompt: Column) -> Column:
     )
 
 
+def plain_table_draft(_prompt: Column) -> Column:
+    """Draft made from a table's columns and rows alone."""
+    return F.format_string("%s: %d rows with %s.", F.col("table_name"), F.col("row_count"), F.col("columns"))
+
+
 def draft(meta: DataFrame, fn: Callable[[Column], Column] = plain_draft) -> DataFrame:
     """Add ``draft`` = trimmed ``fn(prompt)``. ``fn`` may wrap a pandas UDF of the caller."""
     return meta.withColumn("draft", F.trim(fn(F.col("prompt"))))
@@ -182,6 +197,12 @@ def quoted(text) -> Column:
     return F.concat(F.lit("'"), F.replace(text, F.lit("'"), F.lit("''")), F.lit("'"))
 
 
+def table_statements(drafts: DataFrame) -> DataFrame:
+    """The statement that stores each table draft as a comment."""
+    return drafts.select("table_name", F.concat(
+        F.lit("COMMENT ON TABLE "), F.col("table_name"), F.lit(" IS "), quoted(F.col("draft"))).alias("statement"))
+
+
 def comment_statements(drafts: DataFrame) -> DataFrame:
     """The statement that stores each column draft as a comment, for the owner of the tables to run."""
     return drafts.select("table_name", "column_name", F.concat(

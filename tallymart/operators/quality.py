@@ -4,7 +4,7 @@ A rule is a name, a SQL condition and what to do with rows that fail it. A
 condition that comes out NULL counts as failed.
 """
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -113,6 +113,39 @@ def audit_foreign_key(fact: DataFrame, dim: DataFrame, key: str, dim_key: str |
     return used.join(known, F.col(key) == F.col("_known"), "left_anti")
 
 
+def fold_keys(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(key_name, key_value, rows) of several key columns in one pass, NULL values included.
+
+    Values are counted map-side, so a hot key costs a row per task in the one shuffle.
+    """
+    cells = F.array(*[F.struct(F.lit(k).alias("key_name"), F.col(k).alias("key_value")) for k in keys])
+    return fact.select(F.inline(cells)).groupBy("key_name", "key_value").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def summarise_keys(fact: DataFrame, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """How a table's keys meet the tables they point at; one pass over ``fact`` for all keys.
+
+    ``parents`` maps a key column to the frame that owns it. One row per key: ``child_rows`` with a key,
+    ``null_rows`` without, ``matched_rows``, ``orphan_rows`` and ``orphan_keys`` that no parent carries,
+    ``parent_keys`` and ``unused_keys`` that no row points at.
+    """
+    used = fold_keys(fact, list(parents))
+    known = None
+    for key, frame in parents.items():
+        one = frame.select(F.lit(key).alias("key_name"), F.col(key).alias("key_value")).filter("key_value IS NOT NULL")
+        known = one if known is None else known.unionAll(one)
+    met = used.join(known.distinct().withColumn("known", F.lit(True)), ["key_name", "key_value"], "full")
+    rows, is_key = F.coalesce("rows", F.lit(0)), F.col("key_value").isNotNull()
+    orphan = is_key & F.col("known").isNull()
+    return met.groupBy("key_name").agg(
+        F.sum(F.when(is_key, rows).otherwise(0)).alias("child_rows"),
+        F.sum(F.when(is_key, 0).otherwise(rows)).alias("null_rows"),
+        F.sum(F.when(is_key & F.col("known"), rows).otherwise(0)).alias("matched_rows"),
+        F.sum(F.when(orphan, rows).otherwise(0)).alias("orphan_rows"),
+        F.count_if(orphan).alias("orphan_keys"), F.count_if(F.col("known")).alias("parent_keys"),
+        F.count_if(F.col("known") & F.col("rows").isNull()).alias("unused_keys"))
+
+
 def audit_many_to_one(dim: DataFrame, key) -> DataFrame:
     """One row: the most rows any key value has, and whether that is at most one."""
     keys = _key(key)

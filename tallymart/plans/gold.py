@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.columns import surrogate_key
 from ..operators.quality import Rule, keep_rows
-from ..schemas import GOLD
-from ..sources.tables import Tables, conform, inside, read_bronze, write_table
+from ..schemas import GOLD, TABLE_COMMENTS
+from ..sources.tables import Tables, conform, hold_required, inside, read_bronze, write_table
 
 # Row rules per gold table, as conditions on the typed source columns.
 RULES: dict[str, list[Rule]] = {
@@ -81,7 +81,7 @@ def _clean(table: str, source: DataFrame) -> DataFrame:
 def _keyed(table: str, df: DataFrame, **keys: tuple[str, ...]) -> DataFrame:
     # rows with a NULL required key are gone by now: every such key has a dropping rule
     hashed = df.withColumns({k: surrogate_key(*parts) for k, parts in keys.items()})
-    return conform(hashed, GOLD[table], check_required=False)
+    return hold_required(conform(hashed, GOLD[table], check_required=False), GOLD[table])
 
 
 def dim_guest(guest: DataFrame) -> DataFrame:
@@ -147,23 +147,35 @@ def read_tables(spark: SparkSession, where: str, names) -> dict[str, DataFrame]:
     return {n: read_bronze(spark, inside(where, n)).select(GOLD[n].names) for n in names}
 
 
-def refresh_gold(bronze: Mapping[str, DataFrame], where: str, layout: str = "as_is") -> dict[str, DataFrame]:
+# Both sides of the join of stock with sales, bucketed alike on the keys that repeat over days.
+BUCKETED = {"fact_inventory": ["store_key", "product_key"], "daily_sales_by_product_store": ["store_key", "product_key"]}
+
+
+def refresh_gold(
+    bronze: Mapping[str, DataFrame], where: str, layout: str = "as_is", buckets: int = 200
+) -> dict[str, DataFrame]:
     """Recompute and replace all six gold tables in a folder or schema; returns scans of them.
 
     The daily table is summed from the stored sales lines, not from bronze again.
     Everything else is projection and filter, so ``as_is`` shuffles nothing on the
     way to the files. Two layouts spend one skew-safe shuffle per fact so that
     questions about a period read less: ``cluster`` gathers and sorts rows by date,
-    ``partition`` makes a folder per date, for facts of many gigabytes a day.
+    ``partition`` makes a folder per date, for facts of many gigabytes a day. ``bucket``, for a
+    schema, lays stock and daily sales out in the same ``buckets`` of store and product, so that
+    joining them shuffles neither. Tables in a schema get their declared comments.
     """
-    if layout not in ("as_is", "cluster", "partition"):
-        raise ValueError(f"layout {layout!r} is not as_is, cluster or partition")
+    if layout not in ("as_is", "cluster", "partition", "bucket"):
+        raise ValueError(f"layout {layout!r} is not as_is, cluster, partition or bucket")
 
     def write(name: str, df: DataFrame) -> DataFrame:
         by = [DATE_OF[name]] if name in DATE_OF else None
         stored = write_table(
             df, inside(where, name),
-            cluster_by=by if layout == "cluster" else None, partition_by=by if layout == "partition" else None)
+            cluster_by=by if layout == "cluster" else None, partition_by=by if layout == "partition" else None,
+            bucket_by=(buckets, BUCKETED[name]) if layout == "bucket" and name in BUCKETED else None)
+        if "/" not in where:
+            comment = TABLE_COMMENTS[name].replace("\\", "\\\\").replace("'", "\\'")
+            df.sparkSession.sql(f"COMMENT ON TABLE {inside(where, name)} IS '{comment}'")
         return stored.select(GOLD[name].names)
 
     out = {

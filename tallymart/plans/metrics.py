@@ -161,24 +161,48 @@ def _ordering(item, names: Sequence[str]):
     return col.desc_nulls_last() if way == "desc" else col.asc_nulls_last()
 
 
-def _narrowed(join: JoinSpec, gold, source: DataFrame, broadcast_limit: int) -> DataFrame:
-    """The joined rows that lie in the source's range, marked for broadcast if counted few enough."""
+def _narrowed(join: JoinSpec, gold, source: DataFrame) -> DataFrame:
+    """The joined rows that lie in the source's range; no other row can match.
+
+    The bounds are scalar subqueries on one column of the source. The filter goes below a sum that
+    makes the joined table, and what is left is broadcast when Spark finds it small enough.
+    """
     of_source, of_joined = join.range_on
     low, high = (source.agg(f(of_source)).scalar() for f in (F.min, F.max))
-    near = gold[join.table].filter((F.col(of_joined) >= low) & (F.col(of_joined) <= high))
-    return F.broadcast(near) if near.count() <= broadcast_limit else near
+    return gold[join.table].filter((F.col(of_joined) >= low) & (F.col(of_joined) <= high))
+
 
+def _joined(view: MetricView, gold, source: DataFrame, used) -> DataFrame:
+    return star_join(source, [
+        Join(j.alias, _narrowed(j, gold, gold[view.source]) if j.range_on else gold[j.table], j.on)
+        for j in view.joins if j.alias in used
+    ])
 
-def _joined(view: MetricView, gold, source: DataFrame, used, broadcast_limit: int | None = None) -> DataFrame:
-    joins = []
-    for j in view.joins:
-        if j.alias in used:
-            narrow = broadcast_limit is not None and j.range_on
-            joins.append(Join(j.alias, _narrowed(j, gold, source, broadcast_limit) if narrow else gold[j.table], j.on))
-    return star_join(source, joins)
 
+def _only_asked(view: MetricView, gold, source: DataFrame, dims, where) -> DataFrame:
+    """``source`` without rows whose joined dimension fails an equality or list filter, before anything is folded.
 
-def _folded(view: MetricView, gold, dims, parts, prune_joins, broadcast_limit):
+    Only filters that no NULL passes and that name one table are used; they are applied again later.
+    """
+    if not isinstance(where, Mapping):
+        return source
+    for join in view.joins:
+        texts = {}
+        for name, test in where.items():
+            plain = test is not None and not callable(test) and None not in (
+                test if isinstance(test, (list, tuple, set)) else [test])
+            if plain and view.aliases_in([dims[name].expr]) == {join.alias} and "source" not in dims[name].expr:
+                texts[name] = test
+        if texts and not view.aliases_in([join.on]) - {join.alias}:
+            asked = gold[join.table].alias(join.alias)
+            for name, test in texts.items():
+                asked = asked.withColumn("_asked", F.expr(dims[name].expr)).filter(_condition("_asked", test)).drop("_asked")
+                asked = asked.alias(join.alias)
+            source = source.alias("source").join(asked, F.expr(join.on), "left_semi")
+    return source
+
+
+def _folded(view: MetricView, gold, dims, parts, prune_joins, where):
     """Rows folded to one per join key, then joined; and how to finish each part.
 
     Joins that the parts need are made first, at row level. The other joins only
@@ -198,7 +222,8 @@ def _folded(view: MetricView, gold, dims, parts, prune_joins, broadcast_limit):
     late_joins = [j for j in view.joins if j.alias in late - early]
     fold_keys = sorted({k for j in late_joins for k in re.findall(r"\bsource`?\.`?(\w+)", j.on)})
 
-    rows = _joined(view, gold, gold[view.source], early, broadcast_limit).select(
+    source = _only_asked(view, gold, gold[view.source], dims, where)
+    rows = _joined(view, gold, source, early).select(
         *[F.expr(d.expr).alias(n) for n, d in dims.items() if n not in late_dims],
         *[F.expr(f"source.`{k}`").alias(k) for k in fold_keys],
         *[F.expr(p.of).alias(c) for p, c in parts.items()],
@@ -228,7 +253,6 @@ def metric_query(
     limit: int | None = None,
     prune_joins: bool = True,
     pre_aggregate: bool = False,
-    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Measures of ``view`` for every combination of dimension values.
 
@@ -245,12 +269,11 @@ def metric_query(
     ``pre_aggregate`` folds the source to one row per join key before joining.
     Worth it when a joined table is too large to broadcast: the join then moves
     folded rows, and a hot key shrinks before it is shuffled. With broadcast-sized
-    dimensions the plain plan has fewer shuffles. Both give the same rows.
+    dimensions the plain plan has fewer shuffles. Both give the same rows. Equality
+    filters on a joined table cut the source down before it is folded, and each distinct count is folded
+    on its own, as a key of two would hardly shrink.
 
-    ``broadcast_limit`` is for stored tables where a join has ``range_on``: joined
-    rows outside the source's range are filtered out and the rest is counted now,
-    by a scan of that column. Up to this many rows are broadcast and the source is
-    not shuffled; with more, Spark joins as usual.
+    A join with ``range_on`` only meets joined rows in the source's range of that column.
     """
     if not dimensions and not measures:
         raise ValueError("ask for at least one dimension or measure")
@@ -266,29 +289,41 @@ def metric_query(
     parts = {p: f"_part_{i}" for i, p in enumerate(dict.fromkeys(
         p for m in wanted.values() for p in m.parts.values()))}
 
-    if pre_aggregate:
-        rows, columns = _folded(view, gold, dims, parts, prune_joins, broadcast_limit)
-    else:
-        texts = [d.expr for d in dims.values()] + [p.of for p in parts]
-        used = view.aliases_in(texts) if prune_joins else {j.alias for j in view.joins}
-        rows = _joined(view, gold, gold[view.source], used, broadcast_limit).select(
-            *[F.expr(d.expr).alias(n) for n, d in dims.items()],
-            *[F.expr(p.of).alias(c) for p, c in parts.items()],
-        )
-        columns = {c: p.over(c) for p, c in parts.items()}
-
-    if where_text is not None:
-        rows = rows.filter(where_text)
-    elif where:
-        for name, test in where.items():
-            rows = rows.filter(_condition(name, test))
-
     keys = [F.col(f"`{n}`") for n in dimensions]
+
+    def filtered_rows(some: dict) -> tuple[DataFrame, dict]:
+        if pre_aggregate:
+            rows, columns = _folded(view, gold, dims, some, prune_joins, where)
+        else:
+            texts = [d.expr for d in dims.values()] + [p.of for p in some]
+            used = view.aliases_in(texts) if prune_joins else {j.alias for j in view.joins}
+            rows = _joined(view, gold, gold[view.source], used).select(
+                *[F.expr(d.expr).alias(n) for n, d in dims.items()],
+                *[F.expr(p.of).alias(c) for p, c in some.items()],
+            )
+            columns = {c: p.over(c) for p, c in some.items()}
+        if where_text is not None:
+            rows = rows.filter(where_text)
+        elif where:
+            for name, test in where.items():
+                rows = rows.filter(_condition(name, test))
+        return rows, columns
+
+    def grouped(some: dict) -> DataFrame:
+        rows, columns = filtered_rows(some)
+        return (rows.groupBy(*keys) if keys else rows.groupBy()).agg(*[c.alias(n) for n, c in columns.items()])
+
     if not measures and not hidden:
-        out = rows.select(*keys).distinct()
+        out = filtered_rows(parts)[0].select(*keys).distinct()
     else:
-        grouped = rows.groupBy(*keys) if keys else rows.groupBy()
-        out = grouped.agg(*[c.alias(n) for n, c in columns.items()]).select(*keys, *[
+        distinct_parts = [p for p in parts if p.how == "distinct"]
+        apart = distinct_parts[1:] if pre_aggregate else []
+        out = grouped({p: c for p, c in parts.items() if p not in apart}).withColumn("_one", F.lit(1))
+        for p in apart:
+            more = grouped({p: parts[p]}).withColumn("_one", F.lit(1)).alias("more")
+            same = [F.col(f"main.`{n}`").eqNullSafe(F.col(f"more.`{n}`")) for n in ["_one", *dimensions]]
+            out = out.alias("main").join(more, same).select("main.*", f"more.{parts[p]}")
+        out = out.select(*keys, *[
             m.combine({k: F.col(parts[p]) for k, p in m.parts.items()}).alias(n)
             for n, m in wanted.items()
         ])

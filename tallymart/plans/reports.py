@@ -1,14 +1,17 @@
 """The declared rules, keys, joins and comments of the model, checked or filled over all tables."""
 
+import re
 from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.columns import lookup
 from ..operators import glossary, quality
-from ..schemas import GOLD, PRIMARY_KEYS, RELATIONSHIPS
+from ..schemas import PRIMARY_KEYS, RELATIONSHIPS
 from .definitions import VIEWS
 from .gold import RULES, SOURCE_OF, typed_source
+from .metrics import MetricView
 
 Tables = Mapping[str, DataFrame]
 
@@ -33,51 +36,106 @@ def primary_keys(gold: Tables) -> DataFrame:
     )
 
 
+def model_summary(gold: Tables) -> DataFrame:
+    """One row per declared relationship: which tables are joined on what, and how well the two ends meet.
+
+    Each child is read once for all its keys. A child without rows still has its lines, with zeros.
+    """
+    children = {}
+    for r in RELATIONSHIPS:
+        children.setdefault(r.child, {})[r.key] = r.parent
+    frames = []
+    for child, keys in children.items():
+        parent_of = lookup(keys)
+        found = quality.summarise_keys(gold[child], {k: gold[p] for k, p in keys.items()})
+        frames.append(found.select(
+            F.lit(child).alias("child"), parent_of[F.col("key_name")].alias("parent"),
+            F.col("key_name").alias("join_key"), *found.columns[1:]))
+    return union_all(frames)
+
+
 def foreign_keys(gold: Tables) -> DataFrame:
     """Orphan keys and rows per declared relationship."""
-    return union_all(
-        quality.audit_foreign_key(gold[r.child], gold[r.parent], r.key).agg(
-            F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("rows"), F.lit(0)).alias("orphan_rows")
-        ).select(F.lit(r.child).alias("child"), F.lit(r.parent).alias("parent"), "orphan_keys", "orphan_rows")
-        for r in RELATIONSHIPS
-    )
+    return model_summary(gold).select("child", "parent", "orphan_keys", "orphan_rows")
 
 
 def cardinality(gold: Tables, more: tuple[tuple[str, str, str], ...] = ()) -> DataFrame:
-    """Most rows per key on the parent side of every declared join, and of ``more`` (child, parent, key)."""
-    ends = [(r.child, r.parent, r.key) for r in RELATIONSHIPS] + list(more)
+    """Most rows per key on the parent side of every declared join, and of ``more`` (child, parent, key).
+
+    Each parent key is counted once, however many tables point at it.
+    """
+    children: dict[tuple[str, str], list[str]] = {}
+    for child, parent, key in [(r.child, r.parent, r.key) for r in RELATIONSHIPS] + list(more):
+        children.setdefault((parent, key), []).append(child)
     return union_all(
         quality.audit_many_to_one(gold[parent], key).select(
-            F.lit(child).alias("child"), F.lit(parent).alias("parent"), F.lit(key).alias("join_key"),
-            "max_rows_per_key", "is_many_to_one")
-        for child, parent, key in ends
+            F.explode(F.array(*[F.lit(c) for c in pointing])).alias("child"), F.lit(parent).alias("parent"),
+            F.lit(key).alias("join_key"), "max_rows_per_key", "is_many_to_one")
+        for (parent, key), pointing in children.items()
     )
 
 
-def column_gaps(spark: SparkSession, gold: Tables) -> DataFrame:
-    """Declared columns without a comment, next to what the data shows about them."""
-    profile = glossary.profile_tables(gold, glossary.uncommented(GOLD), "exact")
-    return glossary.find_gaps(glossary.describe_columns(spark, GOLD)).join(profile, ["table_name", "column_name"])
+def view_values(view: MetricView, gold: Tables, names) -> DataFrame:
+    """(column_name, value, rows): labels of a view's joined dimensions with the source rows that carry them.
+
+    The source is folded to its join keys in one pass; only the folded keys meet the dimension tables.
+    """
+    labels = {}
+    for name in names:
+        alias, column = view.dimension(name).expr.split(".")
+        labels.setdefault(alias, {})[name] = column
+    joins = {j.alias: j for j in view.joins}
+    key_of = {alias: re.search(r"\bsource\.(\w+)", joins[alias].on)[1] for alias in labels}
+    known = union_all(
+        gold[joins[alias].table].select(
+            F.lit(key_of[alias]).alias("key_name"), F.col(key_of[alias]).alias("key_value"),
+            F.inline(F.array(*[F.struct(F.lit(n).alias("column_name"), F.col(c).alias("value")) for n, c in of.items()])))
+        for alias, of in labels.items())
+    used = quality.fold_keys(gold[view.source], list(dict.fromkeys(key_of.values())))
+    return used.join(known, ["key_name", "key_value"]).filter("value IS NOT NULL").groupBy("column_name", "value").agg(
+        F.sum("rows").alias("rows"))
+
+
+def column_gaps(spark: SparkSession, gold: Tables, distinct: str | None = "sketch") -> DataFrame:
+    """Columns of the tables as they are that have no comment, next to what the data shows about them."""
+    live = glossary.schemas_of(gold)
+    profile = glossary.profile_tables(gold, glossary.uncommented(live), distinct)
+    return glossary.find_gaps(glossary.describe_columns(spark, live)).join(profile, ["table_name", "column_name"])
 
 
 def column_drafts(
-    spark: SparkSession, gold: Tables, fn: Callable[[Column], Column] = glossary.plain_draft
+    spark: SparkSession, gold: Tables, fn: Callable[[Column], Column] = glossary.plain_draft,
+    distinct: str | None = "sketch",
 ) -> DataFrame:
     """The gaps with a prompt and a draft made from it by ``fn``."""
-    return glossary.draft(column_gaps(spark, gold).withColumn("prompt", glossary.column_prompt()), fn)
+    return glossary.draft(column_gaps(spark, gold, distinct).withColumn("prompt", glossary.column_prompt()), fn)
 
 
-def used_columns(spark: SparkSession, gold: Tables) -> DataFrame:
-    """Per table, the columns that hold at least one value, in declared order."""
-    profile = glossary.profile_tables(gold, distinct=None)
-    meta = glossary.describe_columns(spark, GOLD).join(profile, ["table_name", "column_name"])
-    return glossary.column_lists(meta.filter(F.col("null_count") < F.col("row_count")))
+def column_lists(spark: SparkSession, gold: Tables, names=None) -> DataFrame:
+    """Per table all its columns in order, with its rows and how many of the columns hold no value."""
+    live = glossary.schemas_of({n: gold[n] for n in names or gold})
+    evidence = glossary.profile_tables(gold, {t: s.names for t, s in live.items()}, distinct=None)
+    return glossary.column_lists(glossary.describe_columns(spark, live)).join(
+        evidence.groupBy("table_name").agg(
+            F.max("row_count").alias("row_count"),
+            F.count_if(F.col("null_count") == F.col("row_count")).alias("empty_columns")), "table_name", "left")
+
+
+def table_drafts(
+    spark: SparkSession, gold: Tables, comments: Mapping[str, str | None],
+    fn: Callable[[Column], Column] = glossary.plain_table_draft,
+) -> DataFrame:
+    """Tables without a comment, with a prompt and a draft; only those tables are read."""
+    gaps = glossary.uncommented_tables(comments)
+    return glossary.draft(column_lists(spark, gold, gaps).withColumn("prompt", glossary.table_prompt()), fn)
 
 
 def dictionary(
-    spark: SparkSession, gold: Tables, fn: Callable[[Column], Column] = glossary.plain_draft
+    spark: SparkSession, gold: Tables, fn: Callable[[Column], Column] = glossary.plain_draft,
+    distinct: str | None = "sketch",
 ) -> DataFrame:
     """Comments of all columns and metrics; only missing ones come from a draft."""
-    filled = glossary.fill(glossary.describe_columns(spark, GOLD), column_drafts(spark, gold, fn))
+    live = glossary.describe_columns(spark, glossary.schemas_of(gold))
+    filled = glossary.fill(live, column_drafts(spark, gold, fn, distinct))
     return filled.unionByName(glossary.describe_metrics(spark, VIEWS.values())).select(
         "table_name", "column_name", "data_type", "position", "comment")

@@ -118,6 +118,20 @@ def conform(df: DataFrame, schema: T.StructType, check_required: bool = True) ->
     return df.to(T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in schema.fields]))
 
 
+def hold_required(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` with the declared NOT NULL columns marked so in its own schema.
+
+    For frames whose rules have dropped the rows with a NULL there: the empty value that
+    stands behind the column for Spark's sake never comes up.
+    """
+    empty = {f.name: F.lit("" if isinstance(f.dataType, T.StringType) else 0).cast(f.dataType)
+             for f in schema.fields if not f.nullable}
+    marked = df.select(*[
+        F.coalesce(F.col(f.name), empty[f.name]).alias(f.name, metadata=f.metadata) if f.name in empty else F.col(f.name)
+        for f in schema.fields])
+    return marked
+
+
 def row_count(df: DataFrame) -> Column:
     """Number of rows as a scalar subquery: usable in any expression, nothing is run now."""
     return df.agg(F.count(F.lit(1))).scalar()
