@@ -147,8 +147,11 @@ def read_tables(spark: SparkSession, where: str, names) -> dict[str, DataFrame]:
     return {n: read_bronze(spark, inside(where, n)).select(GOLD[n].names) for n in names}
 
 
-# Both sides of the join of stock with sales, bucketed alike on the keys that repeat over days.
-BUCKETED = {"fact_inventory": ["store_key", "product_key"], "daily_sales_by_product_store": ["store_key", "product_key"]}
+# Both sides of the join of stock with sales, bucketed alike on all of its keys: no value repeats enough to fill a bucket.
+BUCKETED = {
+    "fact_inventory": ["store_key", "product_key", "snapshot_date"],
+    "daily_sales_by_product_store": ["store_key", "product_key", "sale_date"],
+}
 
 
 def refresh_gold(
@@ -161,7 +164,7 @@ def refresh_gold(
     way to the files. Two layouts spend one skew-safe shuffle per fact so that
     questions about a period read less: ``cluster`` gathers and sorts rows by date,
     ``partition`` makes a folder per date, for facts of many gigabytes a day. ``bucket``, for a
-    schema, lays stock and daily sales out in the same ``buckets`` of store and product, so that
+    schema, lays stock and daily sales out in the same ``buckets`` of store, product and day, so that
     joining them shuffles neither. Tables in a schema get their declared comments.
     """
     if layout not in ("as_is", "cluster", "partition", "bucket"):

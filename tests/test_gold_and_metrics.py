@@ -126,21 +126,56 @@ def test_folded_inventory_agrees(gold, dims):
                 metric_query(INVENTORY, gold, dims, names, pre_aggregate=True))
 
 
-@pytest.mark.parametrize("limit", [0, 1_000])
-@pytest.mark.parametrize("fold", [False, True])
-def test_checked_broadcast_agrees(made_gold, limit, fold):
-    names = [m.name for m in INVENTORY.measures]
-    dims = ["Product Category", "Store Region"]
-    got = metric_query(INVENTORY, made_gold, dims, names, pre_aggregate=fold, broadcast_limit=limit)
-    assert same(metric_query(INVENTORY, made_gold, dims, names), got)
-
+@pytest.mark.parametrize("where", [{"Store Region": "South"}, {"Store Region": ["South", "West"], "Product Category": "Bottoms"},
+                                   "`Store Region` = 'South'", {"Store Region": None}])
+def test_filters_before_and_after_folding_agree(made_gold, where):
+    for view in (SALES, INVENTORY):
+        names = [m.name for m in view.measures]
+        assert same(metric_query(view, made_gold, ["Product Category"], names, where=where),
+                    metric_query(view, made_gold, ["Product Category"], names, where=where, pre_aggregate=True))
+
+
+def test_filtered_dimension_cuts_the_source_before_the_fold(made_gold):
+    df = metric_query(SALES, made_gold, [], ["Units Sold"], where={"Store Region": "South"}, pre_aggregate=True)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("Aggregate")      # below the fold
+
+
+def test_sales_outside_the_stock_days_never_reach_the_join(spark, tmp_path, made_gold):
+    from tallymart.plans import gold as G
+
+    folder = str(tmp_path)
+    for name in ("fact_inventory", "daily_sales_by_product_store"):
+        made_gold[name].write.parquet(f"{folder}/{name}")
+    stored = {**made_gold, **G.read_tables(spark, folder, ["fact_inventory", "daily_sales_by_product_store"])}
+    df = metric_query(INVENTORY, stored, [], ["Units Sold"])
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "sale_date" in plan and plan.count("scalar-subquery") >= 2
+    assert same(df, metric_query(INVENTORY, made_gold, [], ["Units Sold"]))
+
+
+def test_bucketed_stock_and_sales_join_without_a_shuffle(spark, tiny_bronze):
+    from tallymart.plans import gold as G
+
+    spark.sql("CREATE SCHEMA IF NOT EXISTS tallymart_buckets")
+    try:
+        stored = G.refresh_gold(tiny_bronze, "tallymart_buckets", "bucket", buckets=4)
+        joined = stored["fact_inventory"].alias("i").hint("merge").join(
+            stored["daily_sales_by_product_store"].alias("d"),
+            F.expr("i.store_key = d.store_key AND i.product_key = d.product_key AND i.snapshot_date = d.sale_date"), "left")
+        assert joined.count() == stored["fact_inventory"].count()
+        assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+        described = spark.sql("DESCRIBE TABLE EXTENDED tallymart_buckets.dim_store").filter("col_name = 'Comment'").first()
+        assert described["data_type"] == "One row per physical store with its region and district."
+    finally:
+        spark.sql("DROP SCHEMA tallymart_buckets CASCADE")
+
+
+def test_required_keys_are_not_null_in_the_schema(gold):
+    from tallymart.schemas import GOLD
 
-def test_checked_broadcast_only_below_the_limit(spark, made_gold):
-    def hinted(limit):
-        df = metric_query(INVENTORY, made_gold, [], ["Units Sold"], broadcast_limit=limit)
-        return "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(10_000_000) and not hinted(10)
+    for name, schema in GOLD.items():
+        assert [f.name for f in gold[name].schema if not f.nullable] == [f.name for f in schema if not f.nullable]
 
 
 def test_repeated_dimension_key_changes_sums_and_is_audited(gold):

@@ -268,3 +268,26 @@ def test_entity_lookup(spark):
 def test_uncommented_columns():
     schema = T.StructType([T.StructField("a", T.IntegerType(), True, {"comment": "x"}), T.StructField("b", T.DateType())])
     assert glossary.uncommented({"t": schema}) == {"t": ["b"]}
+
+
+def test_keys_are_summed_up_in_one_pass(spark):
+    fact = spark.createDataFrame([("a", "x"), ("a", "z"), (None, "z"), ("c", None)], "k string, m string")
+    k, m = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string"), spark.createDataFrame([("x",)], "m string")
+    got = {r.key_name: tuple(r)[1:] for r in quality.summarise_keys(fact, {"k": k, "m": m}).collect()}
+    # child rows, null rows, matched, orphan rows, orphan keys, parent keys, unused keys
+    assert got == {"k": (3, 1, 2, 1, 1, 2, 1), "m": (3, 1, 1, 2, 1, 1, 0)}
+    empty = {r.key_name: tuple(r)[1:] for r in quality.summarise_keys(fact.filter("false"), {"k": k, "m": m}).collect()}
+    assert empty == {"k": (0, 0, 0, 0, 0, 2, 2), "m": (0, 0, 0, 0, 0, 1, 1)}
+
+
+def test_lists_hold_empty_tables_and_empty_columns(spark):
+    from tallymart.plans import reports
+
+    tables = {"full": spark.createDataFrame([(1, None, "v")], "a int, b string, added string"),
+              "empty": spark.createDataFrame([], "c int, d string")}
+    got = {r.table_name: tuple(r)[1:] for r in reports.column_lists(spark, tables).collect()}
+    assert got == {"full": ("a, b, added", 1, 1), "empty": ("c, d", 0, 2)}
+    gaps = {(r.table_name, r.column_name) for r in reports.column_gaps(spark, tables).collect()}
+    assert gaps == {("full", "a"), ("full", "b"), ("full", "added"), ("empty", "c"), ("empty", "d")}
+    drafts = reports.table_drafts(spark, tables, {"full": "Known.", "empty": " "}).collect()
+    assert [(r.table_name, r.draft) for r in drafts] == [("empty", "empty: 0 rows with c, d.")]
