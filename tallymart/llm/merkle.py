@@ -122,10 +122,11 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     asked = order.join(ids, "id").select(F.col("next").alias("id"), F.col("id").alias("before"), "need")
 
     placed = rows.join(asked, "id")
+    # ``doc`` goes along so that both uses of ``placed`` need the same columns and share one shuffle of the texts
     heads = placed.select(
         F.col("before").alias("id"),
         F.struct(F.left("text", F.col("need")).alias("head"), phrases(F.col("text")).alias("phrases"),
-                 fingerprint(F.col("text")).alias("print")).alias("next")
+                 fingerprint(F.col("text")).alias("print"), "doc").alias("next")
     ).groupBy("id").agg(F.min("next").alias("next"))
     both = placed.select("id", "doc", "text").join(heads, "id").select(
         "doc", "text", F.length("text").alias("n_chars"), "next",
