@@ -89,7 +89,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                             F.lit(0.0).alias("containment")).filter(F.lit(False))
     found = stored(_candidates(docs, items, widths, text_col, threshold), "candidates")
     pairs = _with_marks(named, text_col).join(_sized(found), ["_m1", "_m2"]).join(items, "item")
-    shared = F.size(F.array_intersect("shingles", shingles_of(words_of(F.col(text_col)), F.col("width"))))
+    # the words are a column of their own: inside the expression below they would be split anew for every shingle
+    pairs = pairs.withColumn("_words", words_of(F.col(text_col)))
+    shared = F.size(F.array_intersect("shingles", shingles_of(F.col("_words"), F.col("width"))))
     verified = stored(pairs.select(id_col, text_col, "item_id", (shared / F.size("shingles")).alias("containment")),
                       "verified")
     return verified.filter(F.col("containment") >= threshold - 1e-9)
