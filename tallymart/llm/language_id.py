@@ -105,7 +105,7 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Filters:
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL")
     n = rows.count()
     draw = F.pmod(F.xxhash64("id", F.length("text")), F.lit(1 << 40)) / float(1 << 40)
-    sample = rows.filter(draw < sample_rows / max(1, n)).select("lang", "text")
+    sample = rows.filter(draw < sample_rows / max(1, n)).select("id", "lang", "text")
     schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
@@ -119,7 +119,8 @@ def learn(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Filters:
                 [pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n, pa.int64())],
                 schema=schema)
 
-    counted = sample.repartition(8, F.xxhash64("text")).mapInArrow(run, "lang string, gram bigint, n bigint").groupBy(
+    # dealt by id, so that copies of one text do not meet in one task
+    counted = sample.repartition(8, "id").select("lang", "text").mapInArrow(run, "lang string, gram bigint, n bigint").groupBy(
         "lang", "gram").agg(F.sum("n").alias("n"))
     by_lang, by_gram = Window.partitionBy("lang"), Window.partitionBy("gram")
     shares = counted.withColumn("share", F.col("n") / F.sum("n").over(by_lang)).withColumn(
