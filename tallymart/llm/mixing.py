@@ -51,7 +51,7 @@ def allocate(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, flo
         "*", *[_leaf_key(levels, d).alias(f"_n{d}") for d in depths],
         *[F.concat_ws("/", *[F.col(c).cast("string") for c in levels[:d]]).alias(f"_p{d}") for d in depths],
         (F.col("tokens") * epochs).cast("double").alias("_s"))
-    parent = nodes.select("_n0").distinct().withColumn("_b0", F.lit(float(budget)))
+    parent = None
     for d in range(1, len(levels) + 1):
         supply = nodes.groupBy(f"_n{d - 1}", f"_n{d}", f"_p{d}").agg(F.sum("_s").alias("_s")).withColumn(
             "_w", _weight(F.col(f"_p{d}"), weights)).withColumn("_s", F.when(F.col("_w") > 0, F.col("_s")).otherwise(0.0))
@@ -60,7 +60,10 @@ def allocate(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, flo
         order = Window.partitionBy(f"_n{d - 1}").orderBy("_r", f"_n{d}")
         past = order.rowsBetween(Window.unboundedPreceding, -1)
         left = Window.partitionBy(f"_n{d - 1}")
-        filled = supply.withColumn("_r", ratio).join(parent, f"_n{d - 1}").withColumns({
+        ranked = supply.withColumn("_r", ratio)
+        # the root's budget is a constant, all others come from the level above
+        given = ranked.withColumn("_b0", F.lit(float(budget))) if parent is None else ranked.join(parent, f"_n{d - 1}")
+        filled = given.withColumns({
             "_used": F.coalesce(F.sum("_s").over(past), F.lit(0.0)),
             "_rest": F.sum("_w").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))})
         level = F.when(F.col("_rest") > 0, (F.col(f"_b{d - 1}") - F.col("_used")) / F.col("_rest")).otherwise(0.0)
