@@ -13,6 +13,7 @@ from .common import components, stored
 
 EDITS = 2
 LEAST_CHARS = 10          # shorter lines are only compared for equality
+LETTERS = "etaoinshrdlucmfwypgb"  # counted for the bound on edits
 BROADCAST_LINES = 200_000  # at most so many 8-byte line ids are sent to every executor
 
 
@@ -24,35 +25,45 @@ def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return (base * i + extra).cast("int"), size.cast("int")
 
 
-def _index(line: Column, edits: int) -> Column:
-    n = F.length(line)
+def described(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``chars``, the length, and ``odd``: a bit per frequent letter that is set if the line has an odd number of it.
+
+    One edit changes at most two of these numbers, so lines within reach differ in at most twice as many bits as edits.
+    """
+    odd = F.lit(0)
+    for bit, letter in enumerate(LETTERS):
+        without = F.length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
+        odd = odd + F.shiftleft((F.col("chars") - without).bitwiseAND(F.lit(1)), bit)
+    return lines.withColumn("chars", F.length("line")).withColumn("odd", odd)
+
+
+def _index(edits: int) -> Column:
     keys = []
     for i in range(edits + 1):
-        start, size = _segment(n, i, edits + 1)
-        keys.append(F.xxhash64(n, F.lit(i), F.substring(line, start + 1, size)))
+        start, size = _segment(F.col("chars"), i, edits + 1)
+        keys.append(F.xxhash64("chars", F.lit(i), F.substring(F.col("line"), start + 1, size)))
     return F.array(*keys)
 
 
-def _probes(line: Column, edits: int) -> Column:
-    """Keys of the substrings that may equal a segment of a line 0 to ``edits`` characters shorter.
+def _probes(edits: int) -> Column:
+    """Keys of the substrings that may equal a segment of a line 0 to ``edits`` characters shorter; NULL where none fits.
 
     With at most i edits before segment i, and at most edits - i after it, its place
     moves by no more than either allows.
     """
-    n = F.length(line)
     keys = []
     for less in range(edits + 1):
-        short = n - less
+        short = F.col("chars") - less
         for i in range(edits + 1):
             start, size = _segment(short, i, edits + 1)
             lowest, highest = max(-i, less - (edits - i)), min(i, less + (edits - i))
             for move in range(lowest, highest + 1):
                 at = start + move
-                fits = (at >= 0) & (at + size <= n)
-                keys.append(F.when(fits, F.struct(
-                    F.xxhash64(short, F.lit(i), F.substring(line, at + 1, size)).alias("key"),
-                    F.lit(less).alias("less"))))
-    return F.filter(F.array(*keys), lambda k: k.isNotNull())
+                fits = (at >= 0) & (at + size <= F.col("chars"))
+                keys.append(F.struct(
+                    F.when(fits, F.xxhash64(short, F.lit(i), F.substring(F.col("line"), at + 1, size))).alias("key"),
+                    F.lit(less).alias("less")))
+    return F.array(*keys)
 
 
 def _let(value: Column, body) -> Column:
@@ -128,7 +139,10 @@ def _banded(a: Column, b: Column, edits: int) -> Column:
             F.shiftright(flat, 1).bitwiseAND(r).alias("down"), (state["d"] + further).alias("d")))
 
     def step(state: Column, j: Column) -> Column:
-        return _let(matches(j), lambda match: _let(no_step(state, match), lambda flat: move(state, j, flat)))
+        # past this the distance cannot come down to ``edits`` any more
+        lost = state["d"] > 2 * edits + F.length(b) - m
+        return F.when(lost, state).otherwise(
+            _let(matches(j), lambda match: _let(no_step(state, match), lambda flat: move(state, j, flat))))
 
     first = F.struct(big((1 << width) - (1 << edits)).alias("up"), big(0).alias("down"),
                      F.least(F.lit(edits), m).cast("bigint").alias("d"))
@@ -151,16 +165,19 @@ def distinct_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def line_links(lines: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(a, b, distance): ids of different lines at most ``edits`` apart, each pair once.
 
-    ``lines`` is a stored table with ``lid`` and ``line``. Keys and ids are joined without
-    the lines; only lines that are in a candidate pair are fetched again.
+    ``lines`` is a stored table of ``lid``, ``line`` and what ``described`` adds. Keys and ids are joined without
+    the lines; only lines that are in a candidate pair are fetched again. Pairs whose letters show that
+    they are too far apart are turned away inside the join, so variants of one line that only share segments do not pile up.
     """
-    long = lines.filter(F.length("line") >= least_chars)
-    index = long.select("lid", F.explode(_index(F.col("line"), edits)).alias("key"))
-    probe = long.select("lid", F.explode(_probes(F.col("line"), edits)).alias("p")).select(
-        F.col("lid").alias("other"), "p.key", "p.less")
+    long = lines.filter(F.col("chars") >= least_chars)
+    index = long.select("lid", "odd", F.explode(_index(edits)).alias("key")).alias("x")
+    probe = long.select("lid", "odd", F.explode(_probes(edits)).alias("p")).select("lid", "odd", "p.key", "p.less").filter(
+        "key IS NOT NULL").alias("y")
     # lines of one length meet both ways, so only one order counts
-    pairs = stored(index.join(probe, "key").filter("lid < other OR (less > 0 AND lid <> other)").select(
-        F.col("lid").alias("a"), F.col("other").alias("b")).distinct(), "line-pairs")
+    once = F.expr("x.lid < y.lid OR (y.less > 0 AND x.lid <> y.lid)")
+    alike = F.bit_count(F.col("x.odd").bitwiseXOR(F.col("y.odd"))) <= 2 * edits
+    pairs = stored(index.join(probe, (F.col("x.key") == F.col("y.key")) & once & alike).select(
+        F.col("x.lid").alias("a"), F.col("y.lid").alias("b")).distinct(), "line-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct(), "line-ids")
     few = wanted.count() <= BROADCAST_LINES
     texts = lines.select("lid", "line").join(F.broadcast(wanted) if few else wanted, "lid", "left_semi")
@@ -186,7 +203,8 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_C
     ``first_id`` unless there is no other. Repeated rows count as copies; other columns are ignored; an
     empty table gives no rows.
     """
-    lines = stored(distinct_lines(docs, id_col, text_col).withColumn("lid", F.monotonically_increasing_id()), "lines")
+    found = distinct_lines(docs, id_col, text_col).withColumn("lid", F.monotonically_increasing_id())
+    lines = stored(described(found), "lines")
     links = line_links(lines, edits, least_chars)
     degree = links.select(F.explode(F.array("a", "b")).alias("lid")).groupBy("lid").agg(
         F.count(F.lit(1)).alias("n_links"))

@@ -295,7 +295,7 @@ def test_every_near_line_is_linked(spark):
     lines = {"".join(random.choice("ab c") for _ in range(random.randint(10, 14))) for _ in range(250)}
     frame = spark.createDataFrame(list(enumerate(sorted(lines))), "lid bigint, line string")
     text = dict(frame.collect())
-    got = {(min(r.a, r.b), max(r.a, r.b)): r.distance for r in line_dedup.line_links(frame).collect()}
+    got = {(min(r.a, r.b), max(r.a, r.b)): r.distance for r in line_dedup.line_links(line_dedup.described(frame)).collect()}
     want = {(a, b): d for a in text for b in text if a < b and abs(len(text[a]) - len(text[b])) <= 2
             and (d := _distance(text[a], text[b])) <= 2}
     assert got == want and want
