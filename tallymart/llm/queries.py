@@ -81,7 +81,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_token_output(spark: SparkSession, folder: str) -> DataFrame:
-    return token_output.training_order(
+    return token_output.written_order(
         table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
@@ -118,8 +118,8 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def order_for_training(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token sequences in their slots."""
-    return token_output.training_order(docs, tokenizer_path("byte_bpe_50k.tiktoken"))
+    """Token sequences in their slots, and the shard files that hold them."""
+    return token_output.written_order(docs, tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 QUERIES = {f.__name__: f for f in (

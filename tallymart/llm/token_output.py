@@ -1,12 +1,14 @@
 """Token ids in training order: fixed-length sequences, a keyed permutation of slots, fixed-stride shards."""
 
 import base64
+import uuid
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..sources.tables import shared_folder
 from .common import SLICE, stored
 from .units import Memo, pieces
 
@@ -119,7 +121,8 @@ def training_order(docs: DataFrame, path: str, key: int = 1, seq_len: int = SEQ_
                    width: int = 2, **pack_args) -> DataFrame:
     """All sequences as (slot, shard, offset, doc_ids, n_tokens, tokens), range-partitioned by shard and in slot order.
 
-    Sequences are packed and stored once. They are numbered through the counts per
+    The sort names the shard first: a writer that deals files by shard asks for that order, and would else
+    put its own sort by shard in the place of the one by slot. Sequences are packed and stored once. They are numbered through the counts per
     input split, and the number is permuted into a global slot; a shard is a
     run of slots, and ``offset`` the place of a sequence in its shard's file. The one
     broadcast has a row of two numbers per input split.
@@ -146,7 +149,7 @@ def training_order(docs: DataFrame, path: str, key: int = 1, seq_len: int = SEQ_
         .withColumn("slot", slot_of(F.col("start") + F.col("local")))
         .select("slot", F.floor(F.col("slot") / in_shard).cast("int").alias("shard"),
                 ((F.col("slot") % in_shard) * stride).alias("offset"), "doc_ids", "n_tokens", "tokens")
-        .repartitionByRange(shards, "shard").sortWithinPartitions("slot")
+        .repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
     )
 
 
@@ -162,6 +165,22 @@ def write_shards(ordered: DataFrame, path: str) -> None:
         path, lineSep=ROW_END.decode())
 
 
+def shards_folder(spark: SparkSession) -> str:
+    """Unused path in the shared folder. The files are a result, so they stay when the session ends."""
+    return f"{shared_folder(spark).rstrip('/')}/tallymart-shards-{uuid.uuid4().hex}"
+
+
+def written_order(docs: DataFrame, path: str, folder: str | None = None, **order_args) -> DataFrame:
+    """The rows of ``training_order`` with ``file``, the folder of the shard's one file, which is written first.
+
+    A row's tokens are the bytes from ``offset`` on in that file. Without ``folder`` the shards go to a new one in the shared folder.
+    """
+    folder = folder or shards_folder(docs.sparkSession)
+    ordered = training_order(docs, path, **order_args)
+    write_shards(ordered, folder)
+    return ordered.withColumn("file", F.concat(F.lit(f"{folder}/shard="), F.col("shard").cast("string")))
+
+
 def read_slots(spark: SparkSession, path: str, seq_len: int = SEQ_LEN, width: int = 2,
                shard_bytes: int = SHARD_BYTES, first: int = 0) -> DataFrame:
     """(slot, tokens) from slot ``first`` on; shards before it are not opened."""

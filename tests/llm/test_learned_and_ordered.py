@@ -162,6 +162,23 @@ def test_round_trip(spark, docs, odd_docs, tmp_path, which):
         assert {r.slot: bytes(r.tokens) for r in back.collect()} == {r.slot: bytes(r.tokens) for r in rows if r.slot >= first}
 
 
+def test_shards_of_uncached_rows_are_in_slot_order(spark, docs, tmp_path):
+    path, shard_bytes = Q.tokenizer_path("byte_bpe_50k.tiktoken"), 129 * 50
+    rows = token_output.written_order(docs.select("doc_id", "text"), path, str(tmp_path / "shards"), seq_len=64, shard_bytes=shard_bytes).collect()
+    want = {r.slot: bytes(r.tokens) for r in rows}
+    back = token_output.read_slots(spark, str(tmp_path / "shards"), 64, shard_bytes=shard_bytes)
+    assert {r.slot: bytes(r.tokens) for r in back.collect()} == want and len(want) > 500
+
+
+def test_op9_rows_are_in_the_files_they_name(spark):
+    rows = Q.op9_token_output(spark, SF_DIR).collect()
+    assert [r.slot for r in rows] == list(range(len(rows)))
+    for file in {r.file for r in rows}:
+        (held,) = (bytes(r.content) for r in spark.read.format("binaryFile").load(file).collect())
+        for r in (r for r in rows if r.file == file):
+            assert held[r.offset:r.offset + len(r.tokens)] == bytes(r.tokens)
+
+
 def test_output_of_nothing_and_of_repeats(odd_docs, no_docs):
     path = Q.tokenizer_path("byte_bpe_50k.tiktoken")
     assert token_output.training_order(no_docs, path).count() == 0
