@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate, language_id, line_dedup, merkle, mixing, simhash, substring_dedup, token_counts
 from . import token_output, url_filter
-from .common import table
+from .common import stored, table
 
 URL_RULES = [
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -63,9 +63,15 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def _mixed(docs: DataFrame) -> DataFrame:
+    """``docs`` mixed to the target weights, measured in the tokens that the corpus is written in. Counts are stored, as mixing reads them four times."""
+    counted = stored(token_counts.with_counts(docs, tokenizer_path("byte_bpe_50k.json"), "_tokens"), "counted")
+    return mixing.mix(counted, tree_levels(), TARGETS, epochs=EPOCHS, tokens=F.col("_tokens"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return mixing.mix(docs, tree_levels(), TARGETS, epochs=EPOCHS).select(
+    return _mixed(docs).select(
         "doc_id", "domain", "language", "leaf", "tokens", "epoch")
 
 
@@ -114,7 +120,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> D
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Rows at the target weights; a row comes once for every epoch in which it is taken."""
-    return mixing.mix(docs, tree_levels(), TARGETS, epochs=EPOCHS).select(*docs.columns)
+    return _mixed(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def order_for_training(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -3,13 +3,15 @@
 import json
 import os
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import by_row
+from .common import SLICE, by_row
 from .units import Memo, pieces
 
 TABLE_UNITS = 65_536   # entries of the broadcast table: about 1.1 MB
@@ -91,6 +93,26 @@ def _two_tier(table: dict, count):
     return lengths
 
 
+def with_counts(docs: DataFrame, path: str, name: str = "tokens", text_col: str = "text",
+                memo_units: int = MEMO_UNITS) -> DataFrame:
+    """``docs`` with each row's token count, as ``count_tokens`` counts; a column of that name is replaced, no row is moved."""
+    check_pattern(path)
+    table = docs.sparkSession.sparkContext.broadcast(frequent_units(docs.select(text_col), path))
+
+    @F.pandas_udf("bigint")
+    def counted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memo = Memo(_two_tier(table.value, _counter(path)), memo_units)
+        for texts in parts:
+            out = []
+            for start in range(0, len(texts), SLICE):
+                cut = [pieces(t or "") for t in texts.iloc[start:start + SLICE]]
+                memo.learn(cut)
+                out += [sum(memo.values(c)) for c in cut]
+            yield pd.Series(out, dtype="int64")
+
+    return docs.withColumn(name, counted(F.col(text_col)))
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text",
                  memo_units: int = MEMO_UNITS) -> DataFrame:
     """(id, n_bytes, n_tokens, over_limit) of every row; ``path`` names a tokenizer file on every machine.

@@ -113,6 +113,18 @@ def test_mix_of_odd_rows(odd_docs, no_docs):
     assert mixing.mix(no_docs, levels, Q.TARGETS).count() == 0
 
 
+def test_op7_and_the_stage_spend_tokens_of_the_tokenizer(spark, docs):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(Q.tokenizer_path("byte_bpe_50k.json"))
+    size = {r.doc_id: len(tokenizer.encode(r.text or "", add_special_tokens=False)) for r in docs.collect()}
+    got = Q.op7_mixing(spark, SF_DIR).collect()
+    assert got and all(r.tokens == size[r.doc_id] for r in got)
+    stage = Q.mix_to_targets(spark, docs, SF_DIR)
+    assert stage.columns == docs.columns
+    assert Counter(r.doc_id for r in stage.collect()) == Counter(r.doc_id for r in got)
+
+
 # -- token output -----------------------------------------------------------
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 1000, 4097])
