@@ -162,6 +162,14 @@ def distinct_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "line <> ''").groupBy("line").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
 
 
+def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(rid, id, line_no, line): every line of every row of ``docs``, empty ones too; line numbers start at 0.
+
+    ``docs`` has ``rid``, a number of its own for each row.
+    """
+    return docs.select("rid", F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n", -1)).alias("line_no", "line"))
+
+
 def line_links(lines: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """(a, b, distance): ids of different lines at most ``edits`` apart, each pair once.
 
@@ -203,8 +211,17 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_C
     ``first_id`` unless there is no other. Repeated rows count as copies; other columns are ignored; an
     empty table gives no rows.
     """
+    lines = _numbered(docs, id_col, text_col)
+    return _classes(lines, edits, least_chars)
+
+
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``distinct_lines`` with a ``lid`` and what ``described`` adds, stored."""
     found = distinct_lines(docs, id_col, text_col).withColumn("lid", F.monotonically_increasing_id())
-    lines = stored(described(found), "lines")
+    return stored(described(found), "lines")
+
+
+def _classes(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
     links = line_links(lines, edits, least_chars)
     degree = links.select(F.explode(F.array("a", "b")).alias("lid")).groupBy("lid").agg(
         F.count(F.lit(1)).alias("n_links"))
@@ -223,3 +240,57 @@ def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_C
         "line", "first_id", "copies", F.lit(0).cast("bigint").alias("n_links"), F.col("line").alias("class_line"),
         F.col("first_id").alias("class_first_id"), F.lit(True).alias("keep"))
     return own.unionAll(alone)
+
+
+def line_members(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """A row per line of each document that is not empty, lines without links too.
+
+    ``rid`` and ``id`` of the row of ``docs``, ``line_no`` (from 0), ``line_sha256``, ``copies``, ``n_links``,
+    ``class_sha256`` and ``class_first_id`` as in ``line_classes``, and ``keep``: of each class only the first place of its
+    ``class_line`` (smallest id, NULL last, then smallest rid and line number) is kept, and so is a line that is alone.
+
+    Lines meet their class by SHA-256, so no text is shuffled a second time. Only repeated and linked lines are
+    looked up; a line in very many rows is a skewed left join, which adaptive execution splits. ``docs`` is frozen, so
+    both passes over it see the same ``rid``.
+    """
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
+        "rid", F.monotonically_increasing_id())
+    return _members(stored(named, "line-docs"), edits, least_chars)
+
+
+def _members(held: DataFrame, edits: int, least_chars: int) -> DataFrame:
+    """``line_members`` of a stored (id, text, rid)."""
+    classes = _classes(_numbered(held, "id", "text"), edits, least_chars)
+    marked = stored(classes.select(
+        F.sha2("line", 256).alias("line_sha256"), "copies", "n_links", F.sha2("class_line", 256).alias("class_sha256"),
+        "class_first_id", F.col("keep").alias("is_first")), "line-marks")
+    rows = line_rows(held, "id", "text").filter("line <> ''").select(
+        "rid", "id", "line_no", F.sha2("line", 256).alias("line_sha256"))
+    # one join for all lines; a hot line's rows are split over tasks, its mark is one row
+    met = stored(rows.join(marked, "line_sha256", "left"), "line-members")
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "rid", "line_no")
+    firsts = met.filter("is_first AND copies > 1").groupBy("line_sha256").agg(F.min(place).alias("at")).select(
+        F.col("at.rid").alias("rid"), F.col("at.line_no").alias("line_no"), F.lit(True).alias("at_first"))
+    # joined by place, which is unique, so a line in very many rows is no hot key here
+    return met.join(firsts, ["rid", "line_no"], "left").select(
+        "rid", "id", "line_no", "line_sha256", F.coalesce("copies", F.lit(1)).cast("bigint").alias("copies"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("class_sha256", "line_sha256").alias("class_sha256"),
+        F.when(F.col("copies").isNull(), F.col("id")).otherwise(F.col("class_first_id")).alias("class_first_id"),
+        F.when(F.col("copies").isNull(), True).when(~F.col("is_first"), False).when(F.col("copies") == 1, True)
+        .otherwise(F.coalesce("at_first", F.lit(False))).alias("keep"))
+
+
+def keep_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``docs`` with the lines that ``line_members`` does not keep taken out of the text; empty lines, rows and columns stay."""
+    tagged = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn(
+        "rid", F.monotonically_increasing_id()), "line-docs")
+    held = tagged.select(F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"), "rid")
+    gone = _members(held, edits, least_chars).filter("NOT keep").groupBy("rid").agg(F.collect_set("line_no").alias("gone"))
+    lines = F.split(F.col(f"row.`{text_col}`"), "\n", -1)
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
+    text = F.when(F.col("gone").isNull(), F.col(f"row.`{text_col}`")).otherwise(left)
+    return tagged.join(gone, "rid", "left").select(
+        *[text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])

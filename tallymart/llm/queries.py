@@ -53,10 +53,9 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    found = line_dedup.line_classes(table(spark, folder, "documents"))
-    return found.select(
-        F.sha2("line", 256).alias("line_sha256"), F.col("first_id").alias("first_doc_id"), "copies", "n_links",
-        F.sha2("class_line", 256).alias("class_sha256"), F.col("class_first_id").alias("class_first_doc_id"), "keep")
+    return line_dedup.line_members(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "line_no", "line_sha256", "copies", "n_links", "class_sha256",
+        F.col("class_first_id").alias("class_first_doc_id"), "keep")
 
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:

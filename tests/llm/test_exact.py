@@ -288,6 +288,39 @@ def test_line_classes(spark, odd_docs, no_docs):
     assert line_dedup.line_classes(no_docs).count() == 0
 
 
+def test_every_place_of_a_line_is_listed_and_one_of_a_class_stays(spark, odd_docs, no_docs):
+    near = "the quick brown fox jumps over the dog"
+    more = [(50, f"{near}\nother line of text\n\n{near}"), (51, near.replace("quick", "quack") + "\nabc"),
+            (50, f"{near}\nother line of text\n\n{near}"), (None, f"abc\n{near}\nof one without an id")]
+    frame = odd_docs.select("doc_id", "text").unionAll(spark.createDataFrame(more, "doc_id bigint, text string"))
+    places = [(r.doc_id, i, line) for r in frame.collect() for i, line in enumerate((r.text or "").split("\n")) if line]
+    sha = {hashlib.sha256(line.encode()).hexdigest(): line for _, _, line in places}
+    got = line_dedup.line_members(frame).collect()
+    assert Counter((r.id, r.line_no, sha[r.line_sha256]) for r in got) == Counter(places)
+    copies = Counter(line for _, _, line in places)
+    assert all(r.copies == copies[sha[r.line_sha256]] for r in got)
+    # one place of each class stays, the first of its line
+    classes = defaultdict(list)
+    for r in got:
+        classes[r.class_sha256].append(r)
+    for name, rows in classes.items():
+        (kept,) = (r for r in rows if r.keep)
+        assert kept.line_sha256 == name
+        at = [(r.id is None, r.id or 0) for r in rows if r.line_sha256 == name]
+        assert (kept.id is None, kept.id or 0) == min(at) and kept.id == kept.class_first_id
+    assert {sha[r.class_sha256] for r in got if near[-9:] in sha[r.line_sha256]} == {near}
+    left = line_dedup.keep_lines(frame)
+    assert left.columns == frame.columns and left.count() == frame.count()
+    held = Counter(line for r in left.collect() for line in (r.text or "").split("\n") if line)
+    assert held == Counter(sha[r.line_sha256] for r in got if r.keep)
+    assert line_dedup.line_members(no_docs).count() == 0
+
+
+def test_op5_names_every_document(spark, docs):
+    places = Counter((r.doc_id, i) for r in docs.collect() for i, line in enumerate((r.text or "").split("\n")) if line)
+    assert Counter((r.doc_id, r.line_no) for r in Q.op5_line_dedup(spark, SF_DIR).collect()) == places
+
+
 def test_every_near_line_is_linked(spark):
     import random
 
