@@ -108,7 +108,7 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 
 
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One row of each SimHash group."""
+    """One row of each SimHash group of op3; most copies of Jaccard similarity 0.8 or more stay, see README and ``shingle_sets``."""
     return simhash.keep_one(docs)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from odd import SF_DIR, no_docs, odd_docs  # noqa: F401
 from registry.check import _plain, connect
-from tallymart.llm import decontaminate, line_dedup, merkle, simhash, substring_dedup, token_counts, url_filter
+from tallymart.llm import decontaminate, line_dedup, merkle, shingle_sets, simhash, substring_dedup, token_counts, url_filter
 from tallymart.llm import queries as Q
 from tallymart.llm.common import components, table
 
@@ -158,6 +158,35 @@ def test_one_of_each_group_stays(docs, odd_docs, no_docs):
     assert simhash.keep_one(no_docs).count() == 0 and simhash.near_groups(no_docs).count() == 0
 
 
+def test_no_near_copies_are_left(spark, no_docs):
+    import random
+
+    random.seed(3)
+    rows = [(i, " ".join(random.choice("abcdefgh") + str(random.randint(0, 400)) for _ in range(150))) for i in range(0, 400, 10)]
+    for i, text in list(rows):
+        for k in range(1, 5):  # one changed word costs up to five of about 146 shingles
+            words = text.split()
+            for at in random.sample(range(150), k):
+                words[at] = f"new{i}x{k}"
+            rows.append((i + k, " ".join(words)))
+
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+    def like(held):
+        sets = [(i, shingles(t)) for i, t in held]
+        return [(i, j) for i, a in sets for j, b in sets if i < j and len(a & b) >= 0.8 * len(a | b) - 1e-9]
+
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert len(like((r.doc_id, r.text) for r in simhash.keep_one(frame).collect())) > 10
+    left = shingle_sets.keep_one_alike(simhash.keep_one(frame))
+    assert left.columns == frame.columns
+    kept = [(r.doc_id, r.text) for r in left.collect()]
+    assert not like(kept) and {i // 10 for i, _ in kept} == set(range(40))
+    assert shingle_sets.keep_one_alike(no_docs).count() == 0
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, k) for k in range(2, 40)] + [(200, 200), (301, 300), (300, 301)]
     got = dict(components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
