@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language_id, line_dedup, merkle, mixing, simhash, substring_dedup, token_counts
-from . import token_output, url_filter
+from . import decontaminate, language_id, line_dedup, merkle, mixing, phrases, simhash, substring_dedup
+from . import token_counts, token_output, url_filter
 from .common import stored, table
 
 URL_RULES = [
@@ -95,6 +95,10 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "item_id", "containment")
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("text", "lang"))
+
+
 # -- pipeline stages: (spark, docs, folder) -> documents -------------------------
 
 LEAST_SCORE = 0.30  # of four or more languages an even split is lower
@@ -129,7 +133,7 @@ def order_for_training(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_substring_dedup, op3_simhash, op4_fingerprints, op5_line_dedup, op6_token_counts,
-    op7_mixing, op8_language_id, op9_token_output, op10_decontamination)}
+    op7_mixing, op8_language_id, op9_token_output, op10_decontamination, op13_phrases)}
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 ORACLE = {
@@ -174,4 +178,30 @@ bs AS (SELECT DISTINCT item_id, array_to_string(ws[i:i + 4], ' ') AS s
 n AS (SELECT item_id, count(*) AS size FROM bs GROUP BY item_id),
 c AS (SELECT doc_id, text, item_id, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, shared / size AS containment FROM c JOIN n USING (item_id) WHERE shared / size >= 0.8 - 1e-9""",
+    "op13_phrases": r"""
+WITH p AS (
+  SELECT row_number() OVER () AS piece_no, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+total AS (SELECT lang, sum(len(ws)) AS n FROM p GROUP BY lang),
+runs AS (SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase FROM (
+  SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS size)
+  WHERE len(ws) >= size)),
+f AS (SELECT lang, size, phrase, count(*) AS c FROM runs GROUP BY ALL HAVING count(*) >= 100),
+w AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE size > 1),
+cut AS (SELECT lang, phrase, c, ws, unnest(range(1, size)) AS k, size FROM w),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.c AS a, x.c AS l, y.c AS r, total.n, k,
+         (1000::HUGEINT * cut.c * total.n) // (x.c::HUGEINT * y.c) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(ws[1:k], ' ')
+  JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(ws[k + 1:cut.size], ' ') JOIN total ON total.lang = cut.lang),
+worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(c) AS held FROM (
+  SELECT lang, ws, c, m, unnest(range(1, size - m + 2)) AS i FROM (
+    SELECT *, unnest(range(2, size)) AS m FROM w WHERE size > 2)) GROUP BY ALL),
+kept AS (SELECT worst.* FROM worst LEFT JOIN inside USING (lang, phrase) WHERE held IS NULL OR 100 * held < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM kept QUALIFY rank <= 2000""",
 }
