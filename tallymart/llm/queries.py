@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language_id, line_dedup, merkle, mixing, phrases, simhash, substring_dedup
-from . import token_counts, token_output, url_filter
+from . import decontaminate, language_id, line_dedup, merkle, mixing, phrases, prefix_trie, simhash
+from . import substring_dedup, token_counts, token_output, url_filter
 from .common import stored, table
 
 URL_RULES = [
@@ -95,6 +95,26 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "item_id", "containment")
 
 
+def _branched(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sequences and conversations of op11: up to five turns of every hundredth conversation start the ones after it."""
+    places = prefix_trie.ordered(turns)
+    sizes = places.groupBy("conv_id").agg(F.max("pos").alias("size"))
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    taken = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    starts = sizes.filter("conv_id % 100 = 0").select(F.col("conv_id").alias("base"), F.col("size").alias("base_size"))
+    convs = sizes.select("conv_id", base.alias("base"), taken.alias("taken")).join(starts, "base", "left").select(
+        "conv_id", "base", "taken", F.least("taken", F.coalesce("base_size", F.lit(0))).alias("shared"))
+    head = places.filter("conv_id % 100 = 0 AND pos <= 5").withColumnRenamed("conv_id", "base")
+    first = convs.join(head, "base").filter("pos <= shared").select("conv_id", "pos", "turn")
+    rest = places.join(convs, "conv_id").filter("pos > taken").select(
+        "conv_id", (F.col("pos") - F.col("taken") + F.col("shared")).alias("pos"), "turn")
+    return first.unionAll(rest), convs.select("conv_id")
+
+
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(*_branched(table(spark, folder, "conversations")))
+
+
 def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents").select("text", "lang"))
 
@@ -133,7 +153,8 @@ def order_for_training(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_substring_dedup, op3_simhash, op4_fingerprints, op5_line_dedup, op6_token_counts,
-    op7_mixing, op8_language_id, op9_token_output, op10_decontamination, op13_phrases)}
+    op7_mixing, op8_language_id, op9_token_output, op10_decontamination, op11_conversation_trie,
+    op13_phrases)}
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 ORACLE = {
@@ -178,6 +199,40 @@ bs AS (SELECT DISTINCT item_id, array_to_string(ws[i:i + 4], ' ') AS s
 n AS (SELECT item_id, count(*) AS size FROM bs GROUP BY item_id),
 c AS (SELECT doc_id, text, item_id, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, shared / size AS containment FROM c JOIN n USING (item_id) WHERE shared / size >= 0.8 - 1e-9""",
+    "op11_conversation_trie": r"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+                                  lambda x, bit: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+s AS (
+  SELECT c.conv_id, pos, role, text FROM c JOIN t ON t.conv_id = base AND pos <= h
+  UNION ALL
+  SELECT c.conv_id, pos - h + least(h, (SELECT count(*) FROM t b WHERE b.conv_id = base)), role, text
+  FROM c JOIN t USING (conv_id) WHERE pos > h),
+path AS (
+  SELECT conv_id, 0 AS depth, '' AS node, 0 AS chars FROM c
+  UNION ALL
+  SELECT conv_id, pos, string_agg(sha256(length(role)::VARCHAR || ':' || role || text), '/') OVER (
+    PARTITION BY conv_id ORDER BY pos), length(text) FROM s),
+p AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends,
+             lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM path),
+n AS (
+  SELECT depth, node, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM p GROUP BY depth, node),
+k AS (SELECT n.*, count(m.node) AS n_children FROM n LEFT JOIN n m ON m.depth = n.depth + 1 AND m.parent = n.node
+      GROUP BY ALL),
+below AS (
+  SELECT p.depth, p.node, sum((k.n_convs - 1) * k.chars) AS saved_tokens, count_if(k.n_children = 0) AS n_leaves
+  FROM k JOIN p ON p.conv_id = k.conv_id AND p.depth <= k.depth GROUP BY ALL)
+SELECT k.conv_id, k.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, k.n_convs::BIGINT AS n_convs,
+       k.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, k.ends_sha256
+FROM k JOIN below USING (depth, node) LEFT JOIN n up ON up.depth = k.depth - 1 AND up.node = k.parent""",
     "op13_phrases": r"""
 WITH p AS (
   SELECT row_number() OVER () AS piece_no, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (
