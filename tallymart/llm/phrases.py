@@ -2,8 +2,9 @@
 
 Every run of up to five words gets a Rabin-Karp fingerprint from numpy prefix polynomials. Runs of
 one length are counted by fingerprint, and only those whose two shorter runs are both frequent are shuffled
-at all. What may be frequent is then counted once more by its text, which sets colliding
-fingerprints apart, so only frequent phrases are ever made into text.
+at all. A fingerprint carries a pointer to a text it occurs in; at the smallest and the largest
+pointer the text of each frequent one is read, and only there phrases are ever made into text. Fingerprints that
+stand for more than one text are counted anew by text.
 """
 
 from collections.abc import Iterator
@@ -22,7 +23,6 @@ BEST = 2000             # phrases of a language
 HOLD = 100              # a phrase goes when a longer one has this percentage of its occurrences
 CHUNK = 1 << 20         # bytes of text that are hashed together
 HELD = 1 << 21          # fingerprints kept in a task before they are passed on
-HELD_TEXTS = 1 << 18
 FILTER_BITS = 1 << 26   # of the filter of frequent fingerprints, 8 MB whatever the size of the corpus
 PROBES = 3
 SALTS = 256
@@ -55,25 +55,28 @@ def _parts(text: bytes) -> Iterator[bytes]:
 
 
 def _chunks(batches) -> Iterator["Chunk"]:
-    """Chunks of the (lang, text) rows of a task."""
-    langs, parts, size = [], [], 0
+    """Chunks of the rows of a task: language, text, and a number or a list of numbers that belongs to the text."""
+    langs, parts, more, size = [], [], [], 0
     for batch in batches:
-        for lang, text in zip(*batch.columns):
-            for part in _parts((text.as_py() or "").encode()):
-                langs.append(lang.as_py())
+        for row in zip(*batch.columns):
+            lang, text, own = (v.as_py() for v in row)
+            for part in _parts((text or "").encode()):
+                langs.append(lang)
                 parts.append(part)
+                more.append(own)
                 size += len(part) + 1
                 if size >= CHUNK:
-                    yield Chunk(langs, parts)
-                    langs, parts, size = [], [], 0
+                    yield Chunk(langs, parts, more)
+                    langs, parts, more, size = [], [], [], 0
     if parts:
-        yield Chunk(langs, parts)
+        yield Chunk(langs, parts, more)
 
 
 class Chunk:
     """Words of some texts: their places, pieces, languages and fingerprints."""
 
-    def __init__(self, langs: list[str], parts: list[bytes]):
+    def __init__(self, langs: list[str], parts: list[bytes], more: list):
+        self.more = more
         self.bytes = _LOWER[np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)]
         kind = _KIND[self.bytes]
         word = np.concatenate(([False], kind == 0, [False]))
@@ -82,8 +85,8 @@ class Chunk:
         self.piece = np.cumsum(kind == 2)[self.start]
         self.names = sorted(set(langs))
         code = {name: i for i, name in enumerate(self.names)}
-        text = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), self.start, side="right")
-        self.lang = np.array([code[x] for x in langs])[text] if len(self.start) else np.zeros(0, np.int64)
+        self.part = np.searchsorted(np.cumsum([len(p) + 1 for p in parts]), self.start, side="right")
+        self.lang = np.array([code[x] for x in langs], np.int64)[self.part]
         self.seed = np.array([xxhash.xxh64_intdigest(name) for name in self.names], np.uint64)[self.lang]
         self.word = Spans(self.bytes).of(self.start, self.end)
         self.words = Spans(self.word)
@@ -147,105 +150,148 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
 # -- counting -----------------------------------------------------------------
 
 def _level(texts: DataFrame, n: int, shorter: np.ndarray | None, least: int) -> DataFrame:
-    """Fingerprints of runs of ``n`` words that occur at least ``least`` times, perhaps with some that collide."""
+    """(key, n, low, high): fingerprints of runs of ``n`` words that occur at least ``least`` times, and two pointers to their texts."""
     known = None if shorter is None else texts.sparkSession.sparkContext.broadcast(shorter)
 
-    def found(chunk: Chunk) -> np.ndarray:
+    def places(chunk: Chunk) -> np.ndarray:
         at = chunk.runs(n)
-        if known is not None:
-            held = np.zeros(len(chunk.start) + 1, bool)
-            inner = chunk.runs(n - 1)
-            held[inner] = _may_hold(known.value, chunk.keys(inner, n - 1))
-            at = at[held[at] & held[at + 1]]
-        return chunk.keys(at, n)
+        if known is None:
+            return at
+        held = np.zeros(len(chunk.start) + 1, bool)
+        inner = chunk.runs(n - 1)
+        held[inner] = _may_hold(known.value, chunk.keys(inner, n - 1))
+        return at[held[at] & held[at + 1]]
 
-    def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        return every, np.bincount(inverse, np.concatenate(counts), len(every)).astype(np.int64)
+    def merged(rows: list[tuple]) -> tuple:
+        keys, counts, docs = (np.concatenate(c) for c in zip(*rows))
+        every, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        return every, np.bincount(inverse, counts, len(every)).astype(np.int64), docs[first]
 
-    def batch_of(keys: np.ndarray, counts: np.ndarray):
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["key", "n"])
+    def batch_of(keys: np.ndarray, counts: np.ndarray, docs: np.ndarray):
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts), pa.array(docs)], ["key", "n", "doc"])
 
     def run(batches):
-        keys, counts, size = [], [], 0
+        rows, size = [], 0
         for chunk in _chunks(batches):
-            got, c = np.unique(found(chunk), return_counts=True)
-            keys.append(got)
-            counts.append(c)
-            size += len(got)
+            at = places(chunk)
+            keys, first, counts = np.unique(chunk.keys(at, n), return_index=True, return_counts=True)
+            rows.append((keys, counts, np.array(chunk.more, np.int32)[chunk.part[at[first]]]))
+            size += len(keys)
             if size > HELD:
-                k, c = merged(keys, counts)
-                if len(k) > HELD // 2:
-                    yield batch_of(k, c)
-                    keys, counts, size = [], [], 0
-                else:
-                    keys, counts, size = [k], [c], len(k)
+                rows = [merged(rows)]
+                size = len(rows[0][0])
+                if size > HELD // 2:
+                    yield batch_of(*rows[0])
+                    rows, size = [], 0
         if size:
-            yield batch_of(*merged(keys, counts))
+            yield batch_of(*merged(rows))
+
+    return texts.select("lang", "text", "doc").mapInArrow(run, "key bigint, n bigint, doc int").groupBy("key").agg(
+        F.sum("n").alias("n"), F.min("doc").alias("low"), F.max("doc").alias("high")).filter(F.col("n") >= least)
+
+
+def _groups(chunk: Chunk, ids: np.ndarray, n: int, wanted) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint, first place and size of each group of runs of ``n`` words with equal text, of those whose fingerprint is ``wanted``."""
+    at = chunk.runs(n)
+    keys = chunk.keys(at, n)
+    may = wanted(keys)
+    at, keys = at[may], keys[may]
+    _, first, inverse, sizes = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    other = at[first[inverse]]
+    same = chunk.lang[at] == chunk.lang[other]
+    for i in range(n):
+        same &= ids[at + i] == ids[other + i]
+    if not same.all():  # fingerprints collided
+        table = np.stack([chunk.lang[at], *[ids[at + i] for i in range(n)]], axis=1)
+        _, first, sizes = np.unique(table, axis=0, return_index=True, return_counts=True)
+    return keys[first], at[first], sizes
+
+
+def _read(texts: DataFrame, found: DataFrame, longest: int) -> DataFrame:
+    """(key, lang, phrase): the texts of the fingerprints ``found`` in the texts that their pointers name."""
+    pointers = found.select("key", F.explode(F.array_distinct(F.array("low", "high"))).alias("doc")).groupBy("doc").agg(
+        F.collect_list("key").alias("keys"))
+
+    # copies of a text are one, found by partial maxima in each task
+    named = texts.join(pointers.select("doc"), "doc", "left_semi").groupBy(F.xxhash64("lang", "text").alias("h"), "doc").agg(
+        F.max(F.struct("lang", "text")).alias("own"))
 
-    return texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).filter(
-        F.col("n") >= least).select("key")
+    def run(batches):
+        for chunk in _chunks(batches):
+            wanted = np.unique(np.array([k for keys in chunk.more for k in keys], np.int64).view(np.uint64))
+            ids = chunk.word_ids()
 
+            def may(keys):
+                return wanted[np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)] == keys
 
-def _spelled(texts: DataFrame, frequent: np.ndarray, longest: int) -> DataFrame:
-    """(lang, phrase, n): exact counts of the phrases whose fingerprints the filter holds, and of all words, without a phrase."""
-    known = texts.sparkSession.sparkContext.broadcast(frequent)
+            out = [(key, chunk.names[chunk.lang[at]], chunk.text(at, n)) for n in range(1, longest + 1)
+                   for key, at in zip(*(c.tolist() for c in _groups(chunk, ids, n, may)[:2]))]
+            if out:
+                keys, langs, said = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(langs), pa.array(said)], ["key", "lang", "phrase"])
 
-    def groups(chunk: Chunk, ids: np.ndarray, n: int):
-        """First place and size of each group of equal runs."""
-        at = chunk.runs(n)
-        keys = chunk.keys(at, n)
-        may = _may_hold(known.value, keys)
-        at, keys = at[may], keys[may]
-        _, first, inverse, sizes = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-        other = at[first[inverse]]
-        same = chunk.lang[at] == chunk.lang[other]
-        for i in range(n):
-            same &= ids[at + i] == ids[other + i]
-        if not same.all():  # fingerprints collided
-            table = np.stack([chunk.lang[at], *[ids[at + i] for i in range(n)]], axis=1)
-            _, first, sizes = np.unique(table, axis=0, return_index=True, return_counts=True)
-        return at[first].tolist(), sizes.tolist()
-
-    def batch_of(held: dict):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.string()),
-             pa.array(list(held.values()), pa.int64())], ["lang", "phrase", "n"])
+    return named.join(pointers, "doc").select("own.lang", "own.text", "keys").mapInArrow(
+        run, "key bigint, lang string, phrase string")
+
+
+def _counted_by_text(texts: DataFrame, wanted: np.ndarray, longest: int) -> DataFrame:
+    """(lang, phrase, n): counts of the phrases whose fingerprints the filter holds, by their text."""
+    known = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        held: dict[tuple, int] = {}
         for chunk in _chunks(batches):
-            for i, c in enumerate(np.bincount(chunk.lang, minlength=len(chunk.names)).tolist()):
-                held[chunk.names[i], None] = held.get((chunk.names[i], None), 0) + c
             ids = chunk.word_ids()
-            for n in range(1, longest + 1):
-                for at, c in zip(*groups(chunk, ids, n)):
-                    key = chunk.names[chunk.lang[at]], chunk.text(at, n)
-                    held[key] = held.get(key, 0) + c
-            if len(held) > HELD_TEXTS:
-                yield batch_of(held)
-                held = {}
-        if held:
-            yield batch_of(held)
-
-    return texts.mapInArrow(run, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(
+            out = [(chunk.names[chunk.lang[at]], chunk.text(at, n), c) for n in range(1, longest + 1)
+                   for at, c in zip(*(x.tolist() for x in _groups(chunk, ids, n, lambda k: _may_hold(known.value, k))[1:]))]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["lang", "phrase", "n"])
+
+    return texts.select("lang", "text", "doc").mapInArrow(run, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(
         F.sum("n").alias("n"))
 
 
+def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """(lang, text, doc); ``doc``, the pointer, is 32 bits of a hash of both."""
+    return docs.select(
+        F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).alias("text")).withColumn(
+        "doc", F.shiftright(F.xxhash64("lang", "text"), 32).cast("int"))
+
+
+def word_totals(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """(lang, total): all words of each language."""
+    texts = _texts(docs, text_col, lang_col)
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09.,;:!?\x0A-\x0D]+"))
+    return texts.groupBy("lang").agg(F.sum(words).cast("bigint").alias("total"))
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col: str = "text",
                      lang_col: str = "lang") -> DataFrame:
-    """(lang, phrase, n) of all phrases of 1 to ``longest`` words with at least ``least`` occurrences, and a row without phrase per language that counts all words.
+    """(lang, phrase, n) of all phrases of 1 to ``longest`` words with at least ``least`` occurrences.
 
-    Every text is read once for each length, to count fingerprints, and once for the text of what is left.
-    A run of n words occurs at most as often as the two runs of n - 1 words in it, so it is counted only where the filter
-    holds both; a false positive there costs work and changes nothing, as the counts by text decide.
+    Every text is read once for each length, to count fingerprints. A run of n words occurs at most as often as
+    the two runs of n - 1 words in it, so it is counted only where the filter
+    holds both; a false positive there costs work and changes nothing. The texts that hold the two pointers of a frequent
+    fingerprint are read once more. Where all runs of a fingerprint in them have one text, its count is
+    that text's; all others are counted by text.
     """
-    texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text_col).alias("text"))
-    every, shorter = np.zeros(FILTER_BITS // 64, np.uint64), None
+    texts = _texts(docs, text_col, lang_col)
+    levels, shorter = [], None
     for n in range(1, longest + 1):
-        shorter = _filter_of(_level(texts, n, shorter, least))
-        every |= shorter
-    return stored(_spelled(texts, every, longest).filter((F.col("n") >= least) | F.col("phrase").isNull()), "phrases")
+        levels.append(stored(_level(texts, n, shorter, least), f"runs-{n}"))
+        shorter = _filter_of(levels[-1].select("key"))
+    found = levels[0]
+    for level in levels[1:]:
+        found = found.unionAll(level)
+    said = stored(_read(texts, found, longest).groupBy("key").agg(
+        F.min(F.struct("lang", "phrase")).alias("own"), F.max(F.struct("lang", "phrase")).alias("other")), "phrases")
+    sure = said.filter("own = other").join(found, "key").select("own.lang", "own.phrase", "n")
+    unsure = said.filter("own <> other").select("key")
+    if unsure.isEmpty():
+        return sure
+    again = _counted_by_text(texts, _filter_of(unsure), longest).filter(F.col("n") >= least)
+    # what the filter lets through by mistake is among the sure ones already
+    return sure.unionAll(stored(again, "counted").join(sure, ["lang", "phrase"], "left_anti"))
 
 
 # -- scores -------------------------------------------------------------------
@@ -269,8 +315,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
     frequent phrases, as an empty one, gives no rows. A text of any length is cut between pieces; only a single piece
     is held in memory whole.
     """
-    found = frequent_phrases(docs, least, longest, text_col, lang_col)
-    counts = found.filter("phrase IS NOT NULL")
+    counts = stored(frequent_phrases(docs, least, longest, text_col, lang_col), "counts")
     words = F.split("phrase", " ")
     candidates = counts.withColumn("words", words).filter(F.size("words") > 1)
     size = F.size("words")
@@ -280,7 +325,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, be
         F.array_join(F.slice("words", F.col("k") + 1, size - F.col("k")), " ").alias("rest"))
     left = counts.select("lang", F.col("phrase").alias("first"), F.col("n").alias("l"))
     right = counts.select("lang", F.col("phrase").alias("rest"), F.col("n").alias("r"))
-    totals = found.filter("phrase IS NULL").select("lang", F.col("n").alias("total"))
+    totals = word_totals(docs, text_col, lang_col)
     scored = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).join(totals, "lang").withColumn(
         "score", F.expr(SCORE)).groupBy("lang", "phrase").agg(
         F.min(F.struct("score", "k", "a", "l", "r", F.col("total").alias("n"))).alias("cut")).select(

@@ -77,7 +77,6 @@ def test_chunks_do_not_change_counts(spark, monkeypatch):
     want = _brute([(r.text, r.lang) for r in docs.collect()], 4)
     monkeypatch.setattr(phrases, "CHUNK", 700)
     monkeypatch.setattr(phrases, "HELD", 300)
-    monkeypatch.setattr(phrases, "HELD_TEXTS", 50)
     assert _rows(phrases.collocations(docs, 4)) == want
 
 
