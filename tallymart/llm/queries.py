@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import decontaminate, language_id, line_dedup, merkle, mixing, phrases, prefix_trie, simhash
-from . import substring_dedup, token_counts, token_output, url_filter
+from . import substring_dedup, token_counts, token_output, toxicity, url_filter
 from .common import stored, table
 
 URL_RULES = [
@@ -115,6 +115,15 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(*_branched(table(spark, folder, "conversations")))
 
 
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    open_rows = docs.filter(~toxicity.held_out(F.col("doc_id")))
+    scorer = toxicity.learn(toxicity.training_rows(open_rows, table(spark, folder, "labels").filter(
+        ~toxicity.held_out(F.col("doc_id")))))
+    return toxicity.score(docs, scorer).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
     return phrases.collocations(table(spark, folder, "documents").select("text", "lang"))
 
@@ -154,7 +163,7 @@ def order_for_training(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
 QUERIES = {f.__name__: f for f in (
     op1_url_filters, op2_substring_dedup, op3_simhash, op4_fingerprints, op5_line_dedup, op6_token_counts,
     op7_mixing, op8_language_id, op9_token_output, op10_decontamination, op11_conversation_trie,
-    op13_phrases)}
+    op12_toxicity, op13_phrases)}
 
 _RULE_ROWS = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 ORACLE = {
