@@ -490,6 +490,7 @@ _RULES = [
 ORACLE["quality_report"] = "\nUNION ALL\n".join(
     f"""SELECT '{t}' AS table_name, '{r}' AS rule, '{a}' AS on_failure, count(*) FILTER (coalesce({c}, false)) AS passed,
         count(*) FILTER (NOT coalesce({c}, false)) AS failed FROM {s}""" for t, s, r, a, c in _RULES)
+ORACLE["quality_log"] = ORACLE["quality_report"]
 ORACLE["quality_quarantine"] = """
     SELECT * FROM (
       SELECT transaction_id, line_number, guest_id, product_id, quantity, concat_ws(',',
@@ -517,6 +518,19 @@ ORACLE["fk_audit"] = "\nUNION ALL\n".join(f"""
     SELECT '{c}' AS child, '{p}' AS parent, count(DISTINCT {k}_key) AS orphan_keys, count(*) AS orphan_rows
     FROM ug_{f} f WHERE f.{k}_key IS NOT NULL
       AND NOT EXISTS (SELECT 1 FROM ug_{k} d WHERE d.{k}_key = f.{k}_key)""" for c, p, f, k in _LINKS)
+ORACLE["release_audit"] = "\nUNION ALL\n".join([
+    *[f"""SELECT 1 AS release, '{t}' AS table_name, 'null_keys' AS check_name, count(*) - count({k}) AS failing,
+          true AS must_hold FROM u{s}""" for t, s, k in _KEYS],
+    *[f"""SELECT 1, '{t}', 'repeated_keys', count(*), {str(t.startswith('dim')).lower()}
+          FROM (SELECT {k} FROM u{s} WHERE {k} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)""" for t, s, k in _KEYS],
+    *[f"""SELECT 1, '{c}', 'orphans of {p}', count(*), false FROM ug_{f} f
+          WHERE f.{k}_key IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ug_{k} d WHERE d.{k}_key = f.{k}_key)"""
+      for c, p, f, k in _LINKS]])
+ORACLE["release_history"] = "\nUNION ALL\n".join(
+    f"SELECT {n} AS release, '{t}' AS table_name, count(*) AS row_count FROM {pre}{step}"
+    for n, pre in ((1, "ug_"), (2, "g_"))
+    for t, step in [("dim_guest", "guest"), ("dim_product", "product"), ("dim_store", "store"), ("fact_transaction", "sale"),
+                    ("fact_inventory", "stock"), ("daily_sales_by_product_store", "daily")])
 ORACLE["cardinality_audit"] = "\nUNION ALL\n".join(f"""
     SELECT '{c}' AS child, '{p}' AS parent, '{k}' AS join_key, max(n) AS max_rows_per_key,
            max(n) <= 1 AS is_many_to_one

@@ -16,7 +16,8 @@ from tallymart.plans import generate, gold as G, questions as Q, reports
 from tallymart.plans.definitions import INVENTORY, SALES, VIEWS
 from tallymart.plans.metrics import metric_query
 from tallymart.plans.reports import union_all
-from tallymart.schemas import BRONZE, LOOKUP_COLUMNS, LOOKUP_DIMENSIONS, TABLE_COMMENTS
+from tallymart.schemas import BRONZE, GOLD, LOOKUP_COLUMNS, LOOKUP_DIMENSIONS, TABLE_COMMENTS
+from tallymart.sources import releases
 from tallymart.sources.tables import Tables, conform, id_range, read_bronze, row_count, scratch_table, write_table
 from tallymart.sources.testdata import READERS, read_testdata, scan
 
@@ -86,6 +87,39 @@ def refresh_gold(spark, d):
         .withColumn("table_name", F.lit(t)) for t, df in stored.items())
 
 
+def _refreshed(spark, d) -> str:
+    """A folder with two releases of the gold tables: of raw tables with planted faults, and of the raw tables as they are."""
+    where = scratch_table(spark, "gold")
+    G.refresh_gold(unclean(spark, d), where)
+    G.refresh_gold(read_testdata(spark, d), where)
+    return where
+
+
+@query
+def release_history(spark, d):
+    """Rows of every table in either release, each read by its number."""
+    where = _refreshed(spark, d)
+    return union_all(
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("release"), F.lit(t).alias("table_name"), "row_count")
+        for n in releases.release_numbers(spark, where) for t, df in G.read_tables(spark, where, GOLD, n).items())
+
+
+@query
+def quality_log(spark, d):
+    """What the row rules counted while the first release was written."""
+    where = scratch_table(spark, "gold")
+    G.refresh_gold(unclean(spark, d), where)
+    return releases.quality_log(spark, where).select("table_name", "rule", "on_failure", "passed", "failed")
+
+
+@query
+def release_audit(spark, d):
+    """What the audits found before a release of tables with planted faults was published."""
+    where = scratch_table(spark, "gold")
+    G.refresh_gold(unclean(spark, d), where, audit=reports.release_audits)
+    return releases.audit_log(spark, where).select("release", "table_name", "check_name", "failing", "must_hold")
+
+
 @query
 def conform_schema(spark, d):
     target = T.StructType([

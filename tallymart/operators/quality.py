@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 @dataclass(frozen=True)
@@ -67,6 +67,44 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return counts.select(F.inline(lines))
 
 
+@dataclass(frozen=True)
+class Counted:
+    """Rows that pass, and the counts of all rules, which are there once the rows were written."""
+
+    rules: Sequence[Rule]
+    kept: DataFrame
+    seen: Observation
+
+    def report(self, stored_rows: int) -> list[dict] | None:
+        """Passed and failed rows per rule, or None if the counts do not go with the number of rows that were stored.
+
+        That happens when a stage that feeds a shuffle ran again after an executor was lost: its rows are counted
+        again, though they are stored once.
+        """
+        got = self.seen.get
+        if got["kept"] != stored_rows:
+            return None
+        return [{"rule": r.name, "on_failure": "drop" if r.drop else "keep",
+                 "passed": got["rows"] - got[f"failed_{i}"], "failed": got[f"failed_{i}"]}
+                for i, r in enumerate(self.rules)]
+
+
+def counted_rows(df: DataFrame, rules: Sequence[Rule]) -> Counted:
+    """Rows that pass every dropping rule, counted by rule as they go by: no pass of its own.
+
+    A plan that is used in several actions keeps the counts of the first.
+    """
+    passes = F.lit(True)
+    for rule in rules:
+        if rule.drop:
+            passes = passes & rule.passes()
+    seen = Observation()
+    watched = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(passes).alias("kept"),
+        *[F.count_if(~r.passes()).alias(f"failed_{i}") for i, r in enumerate(rules)])
+    return Counted(rules, keep_rows(watched, rules), seen)
+
+
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> RuleResult:
     """Kept rows, rows that break any rule, and counts per rule."""
     return RuleResult(keep_rows(df, rules), failing_rows(df, rules), rule_report(df, rules))

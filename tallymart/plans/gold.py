@@ -6,14 +6,15 @@ rule on its parts drop the same rows; on the parts it reaches the parquet scan
 and lets unused hashes be pruned.
 """
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.columns import surrogate_key
-from ..operators.quality import Rule, keep_rows
+from ..operators.quality import Counted, Rule, counted_rows, keep_rows, rule_report
 from ..schemas import GOLD, TABLE_COMMENTS
-from ..sources.tables import Tables, conform, hold_required, inside, read_bronze, write_table
+from ..sources import releases
+from ..sources.tables import Tables, conform, hold_required, inside, read_bronze
 
 # Row rules per gold table, as conditions on the typed source columns.
 RULES: dict[str, list[Rule]] = {
@@ -78,39 +79,51 @@ def _clean(table: str, source: DataFrame) -> DataFrame:
     return keep_rows(typed_source(table, source), RULES[table])
 
 
-def _keyed(table: str, df: DataFrame, **keys: tuple[str, ...]) -> DataFrame:
+# Hashed keys of each table and the ids they are made of.
+KEY_PARTS = {
+    "dim_guest": {"guest_key": ("guest_id",)},
+    "dim_product": {"product_key": ("product_id",)},
+    "dim_store": {"store_key": ("store_id",)},
+    "fact_transaction": {
+        "transaction_line_key": ("transaction_id", "line_number"),
+        "guest_key": ("guest_id",), "product_key": ("product_id",), "store_key": ("store_id",)},
+    "fact_inventory": {
+        "inventory_key": ("snapshot_date", "store_id", "product_id"),
+        "store_key": ("store_id",), "product_key": ("product_id",)},
+}
+
+
+def _keyed(table: str, clean: DataFrame) -> DataFrame:
     # rows with a NULL required key are gone by now: every such key has a dropping rule
-    hashed = df.withColumns({k: surrogate_key(*parts) for k, parts in keys.items()})
+    hashed = clean.withColumns({k: surrogate_key(*parts) for k, parts in KEY_PARTS[table].items()})
     return hold_required(conform(hashed, GOLD[table], check_required=False), GOLD[table])
 
 
 def dim_guest(guest: DataFrame) -> DataFrame:
-    return _keyed("dim_guest", _clean("dim_guest", guest), guest_key=("guest_id",))
+    return _keyed("dim_guest", _clean("dim_guest", guest))
 
 
 def dim_product(product: DataFrame) -> DataFrame:
-    return _keyed("dim_product", _clean("dim_product", product), product_key=("product_id",))
+    return _keyed("dim_product", _clean("dim_product", product))
 
 
 def dim_store(store: DataFrame) -> DataFrame:
-    return _keyed("dim_store", _clean("dim_store", store), store_key=("store_id",))
+    return _keyed("dim_store", _clean("dim_store", store))
 
 
 def fact_transaction(lines: DataFrame) -> DataFrame:
     """Sales lines with hashed keys. Keys come from the ids on the line, so no dimension is joined."""
-    return _keyed(
-        "fact_transaction", _clean("fact_transaction", lines),
-        transaction_line_key=("transaction_id", "line_number"),
-        guest_key=("guest_id",), product_key=("product_id",), store_key=("store_id",),
-    )
+    return _keyed("fact_transaction", _clean("fact_transaction", lines))
 
 
 def fact_inventory(snapshots: DataFrame) -> DataFrame:
-    return _keyed(
-        "fact_inventory", _clean("fact_inventory", snapshots),
-        inventory_key=("snapshot_date", "store_id", "product_id"),
-        store_key=("store_id",), product_key=("product_id",),
-    )
+    return _keyed("fact_inventory", _clean("fact_inventory", snapshots))
+
+
+def counted_table(table: str, source: DataFrame) -> tuple[DataFrame, Counted]:
+    """The gold frame of a bronze frame, and the counts of its row rules, taken as it is written."""
+    counted = counted_rows(typed_source(table, source), RULES[table])
+    return _keyed(table, counted.kept), counted
 
 
 def daily_sales(fact: DataFrame) -> DataFrame:
@@ -142,9 +155,16 @@ DATE_OF = {
 }
 
 
-def read_tables(spark: SparkSession, where: str, names) -> dict[str, DataFrame]:
-    """Scan stored gold tables from a folder (``where`` has a slash) or a schema."""
-    return {n: read_bronze(spark, inside(where, n)).select(GOLD[n].names) for n in names}
+def read_tables(spark: SparkSession, where: str, names, release: int | None = None) -> dict[str, DataFrame]:
+    """Scan stored gold tables of a folder (``where`` has a slash) or a schema, all of one release: the newest or a numbered one.
+
+    Where nothing was ever published, the tables of these names are read.
+    """
+    if release is None and not releases.release_numbers(spark, where):
+        places = {n: inside(where, n) for n in names}
+    else:
+        places = releases.places(spark, where, release)
+    return {n: read_bronze(spark, places[n]).select(GOLD[n].names) for n in names}
 
 
 # Both sides of the join of stock with sales, bucketed alike on all of its keys: no value repeats enough to fill a bucket.
@@ -154,10 +174,19 @@ BUCKETED = {
 }
 
 
+class AuditFailed(RuntimeError):
+    """Checks that must hold do not; ``rows`` are the findings."""
+
+    def __init__(self, rows: list[dict]):
+        super().__init__(f"not published: {rows}")
+        self.rows = rows
+
+
 def refresh_gold(
-    bronze: Mapping[str, DataFrame], where: str, layout: str = "as_is", buckets: int = 200
+    bronze: Mapping[str, DataFrame], where: str, layout: str = "as_is", buckets: int = 200,
+    audit: Callable[[Mapping[str, DataFrame]], DataFrame] | None = None, keep: int = 2,
 ) -> dict[str, DataFrame]:
-    """Recompute and replace all six gold tables in a folder or schema; returns scans of them.
+    """Recompute all six gold tables in a folder or schema and publish them as one release; returns scans of them.
 
     The daily table is summed from the stored sales lines, not from bronze again.
     Everything else is projection and filter, so ``as_is`` shuffles nothing on the
@@ -166,28 +195,48 @@ def refresh_gold(
     ``partition`` makes a folder per date, for facts of many gigabytes a day. ``bucket``, for a
     schema, lays stock and daily sales out in the same ``buckets`` of store, product and day, so that
     joining them shuffles neither. Tables in a schema get their declared comments.
+
+    Row rules are counted while the rows are written and go into the release's log (``releases.quality_log``); bronze is
+    read once. The counts are held against the rows that were stored, and taken anew where they disagree.
+    ``audit`` looks at the staged tables (``reports.release_audits`` does the declared keys and joins). Its findings are
+    logged too, and where a check that must hold does not, nothing is published and the staged tables go. Of older
+    releases ``keep`` - 1 stay readable.
     """
     if layout not in ("as_is", "cluster", "partition", "bucket"):
         raise ValueError(f"layout {layout!r} is not as_is, cluster, partition or bucket")
+    spark = next(iter(bronze.values())).sparkSession
+    after = max(releases.release_numbers(spark, where), default=0)
+    places: dict[str, str] = {}
 
     def write(name: str, df: DataFrame) -> DataFrame:
         by = [DATE_OF[name]] if name in DATE_OF else None
-        stored = write_table(
-            df, inside(where, name),
+        places[name] = releases.stage(
+            df, where, name,
             cluster_by=by if layout == "cluster" else None, partition_by=by if layout == "partition" else None,
             bucket_by=(buckets, BUCKETED[name]) if layout == "bucket" and name in BUCKETED else None)
         if "/" not in where:
             comment = TABLE_COMMENTS[name].replace("\\", "\\\\").replace("'", "\\'")
-            df.sparkSession.sql(f"COMMENT ON TABLE {inside(where, name)} IS '{comment}'")
-        return stored.select(GOLD[name].names)
-
-    out = {
-        "dim_guest": write("dim_guest", dim_guest(bronze["guest"])),
-        "dim_product": write("dim_product", dim_product(bronze["product"])),
-        "dim_store": write("dim_store", dim_store(bronze["store"])),
-        "fact_transaction": write("fact_transaction", fact_transaction(bronze["transaction_line"])),
-        "fact_inventory": write("fact_inventory", fact_inventory(bronze["inventory_snapshot"])),
-    }
-    name = "daily_sales_by_product_store"
-    out[name] = write(name, daily_sales(out["fact_transaction"]))
+            spark.sql(f"COMMENT ON TABLE {places[name]} IS '{comment}'")
+        return read_bronze(spark, places[name]).select(GOLD[name].names)
+
+    try:
+        out, quality = {}, []
+        for name, source in SOURCE_OF.items():
+            df, counted = counted_table(name, bronze[source])
+            out[name] = write(name, df)
+            report = counted.report(out[name].count())
+            if report is None:
+                report = [r.asDict() for r in rule_report(typed_source(name, bronze[source]), RULES[name]).collect()]
+            quality += [{"table_name": name, **line} for line in report]
+        name = "daily_sales_by_product_store"
+        out[name] = write(name, daily_sales(out["fact_transaction"]))
+        findings = [r.asDict() for r in audit(out).collect()] if audit else []
+        broken = [f for f in findings if f["must_hold"] and f["failing"]]
+        if broken:
+            raise AuditFailed(broken)
+        releases.publish(spark, where, places, after, quality, findings)
+    except BaseException:
+        releases.discard(spark, list(places.values()))
+        raise
+    releases.prune(spark, where, keep)
     return out

@@ -1,7 +1,7 @@
 """The declared rules, keys, joins and comments of the model, checked or filled over all tables."""
 
 import re
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -75,6 +75,26 @@ def cardinality(gold: Tables, more: tuple[tuple[str, str, str], ...] = ()) -> Da
     )
 
 
+UNIQUE = ("dim_guest", "dim_product", "dim_store")  # tables whose key must not repeat, as facts are joined to them
+
+
+def release_audits(gold: Tables, unique: Sequence[str] = UNIQUE) -> DataFrame:
+    """(table_name, check_name, failing, must_hold): the declared keys and joins of a set of gold tables.
+
+    Keys must be there, and those of ``unique`` tables must not repeat. Repeated keys of other tables and orphans are
+    findings only, as the raw data has both.
+    """
+    keys = primary_keys(gold)
+    once = F.col("table_name").isin(list(unique))
+    found = keys.select("table_name", F.inline(F.array(
+        F.struct(F.lit("null_keys").alias("check_name"), F.col("null_keys").alias("failing"), F.lit(True).alias("must_hold")),
+        F.struct(F.lit("repeated_keys").alias("check_name"), F.col("repeated_keys").alias("failing"), once.alias("must_hold")))))
+    orphans = foreign_keys(gold).select(
+        F.col("child").alias("table_name"), F.concat(F.lit("orphans of "), F.col("parent")).alias("check_name"),
+        F.col("orphan_rows").alias("failing"), F.lit(False).alias("must_hold"))
+    return found.unionByName(orphans)
+
+
 def view_values(view: MetricView, gold: Tables, names) -> DataFrame:
     """(column_name, value, rows): labels of a view's joined dimensions with the source rows that carry them.
 

@@ -56,16 +56,14 @@ def read_bronze(spark: SparkSession, ref: str) -> DataFrame:
     return spark.read.parquet(ref) if _is_path(ref) else spark.table(ref)
 
 
-def write_table(
+def write_new(
     df: DataFrame,
     ref: str,
     cluster_by: list[str] | None = None,
     partition_by: list[str] | None = None,
     bucket_by: tuple[int, list[str]] | None = None,
-) -> DataFrame:
-    """Replace table ``ref`` (a name or a parquet folder) with ``df`` and return a scan of it.
-
-    A folder is written beside the old one and then takes its place, so a failed write leaves the old table.
+) -> None:
+    """Write ``df`` to a name or parquet folder that is not in use.
 
     ``cluster_by`` gathers equal values in the same files and sorts each file, so
     that row-group statistics prune scans. It uses a rebalance, which splits a
@@ -75,26 +73,42 @@ def write_table(
     later join on exactly those columns needs no shuffle; buckets are not split,
     so keep it for keys without heavy repeats.
     """
-    spark = df.sparkSession
+    if _is_path(ref) and bucket_by:
+        raise ValueError("buckets need a table name, not a path")
     gather = [*(partition_by or []), *(cluster_by or [])]
     if gather:
         df = df.hint("rebalance", *[F.col(c) for c in gather])
     if cluster_by:
         df = df.sortWithinPartitions(*gather)
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        n, columns = bucket_by
+        writer = writer.bucketBy(n, *columns).sortBy(*columns)
     if _is_path(ref):
-        if bucket_by:
-            raise ValueError("buckets need a table name, not a path")
-        fresh = f"{ref.rstrip('/')}.new-{uuid.uuid4().hex}"
-        writer.save(fresh)
-        _swap_in(spark, fresh, ref.rstrip("/"))
+        writer.save(ref)
     else:
-        if bucket_by:
-            n, columns = bucket_by
-            writer = writer.bucketBy(n, *columns).sortBy(*columns)
         writer.saveAsTable(ref)
+
+
+def write_table(df: DataFrame, ref: str, **layout) -> DataFrame:
+    """Replace table ``ref`` (a name or a parquet folder) with ``df``, laid out as ``write_new`` does, and return a scan of it.
+
+    The rows are written beside the old ones and then take their place, so a failed write leaves the old
+    table. Between the two there is a moment without a table, and a reader that holds the old files loses them: tables
+    that are read while they are replaced belong in a release.
+    """
+    spark = df.sparkSession
+    ref = ref.rstrip("/")
+    mark = uuid.uuid4().hex
+    fresh = f"{ref}.new-{mark}" if _is_path(ref) else f"{ref}__new_{mark}"
+    write_new(df, fresh, **layout)
+    if _is_path(ref):
+        _swap_in(spark, fresh, ref)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {ref}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {ref}")
     return read_bronze(spark, ref)
 
 
@@ -181,7 +195,7 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def _swap_in(spark: SparkSession, fresh: str, ref: str) -> None:
-    """Put the folder ``fresh`` in the place of ``ref``; readers see the old or the new table."""
+    """Put the folder ``fresh`` in the place of ``ref``, which goes last; for a moment there is neither."""
     new, files = _file_system(spark, fresh)
     now, _ = _file_system(spark, ref)
     old, _ = _file_system(spark, f"{ref}.old-{uuid.uuid4().hex}")
