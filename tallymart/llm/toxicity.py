@@ -17,7 +17,7 @@ from .rolling import Spans, mixed
 
 LABELLED_ROWS = 8_000    # expected number of labelled rows that anything is learned from
 PLAIN_ROWS = 4_000       # expected number of further rows without label, for the label model
-ENTRIES = 2_048          # most entries of the lexicon
+ENTRIES = 512            # most entries of the lexicon
 VOTERS = 96              # entries that vote; all of them are features
 LEAST_ROWS = 3           # labelled toxic rows that an entry occurs in
 LEAST_Z = 3.5            # standard errors by which its log odds must be above zero
@@ -182,18 +182,20 @@ def label_model(votes: np.ndarray, given: np.ndarray, spoken: int, rounds: int =
 
 # -- classifier ---------------------------------------------------------------
 
-def fit_linear(features: np.ndarray, target: np.ndarray, steps: int = STEPS, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Weights and intercept of a logistic model for soft labels, by accelerated gradient steps on all rows; rare classes weigh as they are."""
-    n, m = features.shape
-    x = np.concatenate((features, np.ones((n, 1))), axis=1)
-    bound = 0.25 * np.linalg.eigvalsh(x.T @ x / n)[-1] + ridge
-    w = np.zeros(m + 1)
-    ahead, t = w, 1.0
-    keep = np.full(m + 1, ridge)
+def fit_linear(x: np.ndarray, target: np.ndarray, steps: int = STEPS, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic model for soft labels, by accelerated gradient steps on all rows.
+
+    The last column of ``x`` is all ones, for the intercept. Rare classes weigh as they are.
+    """
+    n, m = x.shape
+    bound = 0.25 * float(np.linalg.eigvalsh((x.T @ x).astype(np.float64) / n)[-1]) + ridge
+    keep = np.full(m, ridge)
     keep[-1] = 0.0
+    w = ahead = np.zeros(m)
+    t = 1.0
     for _ in range(steps):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ ahead, -30, 30)))
-        new = ahead - (x.T @ (p - target) / n + keep * ahead) / bound
+        p = 1.0 / (1.0 + np.exp(-np.clip(x @ ahead.astype(x.dtype), -30, 30).astype(np.float64)))
+        new = ahead - ((p - target).astype(x.dtype) @ x / n + keep * ahead) / bound
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
         ahead, w, t = new + (t - 1) / t_new * (new - w), new, t_new
     return w[:-1], float(w[-1])
@@ -242,20 +244,27 @@ def learn(sample: DataFrame, entries: int = ENTRIES) -> Scorer:
                     pa.array([spelling(t) for t in texts], pa.list_(pa.float64()))], schema=schema)
 
     rows = sample.select("text", "label").mapInArrow(
-        run, "label int, entries array<int>, dense array<double>, shape array<double>").toArrow().to_pylist()
-    if not rows or not k:
-        given = [r["label"] for r in rows if r["label"] is not None]
-        rate = (sum(given) + 0.5) / (len(given) + 1.0) if given else 0.1
+        run, "label int, entries array<int>, dense array<double>, shape array<double>").toArrow()
+    label = rows["label"].to_pandas().to_numpy(np.float64, na_value=np.nan)
+    n = len(label)
+    if not n or not k:
+        given = label[~np.isnan(label)]
+        rate = (given.sum() + 0.5) / (len(given) + 1.0) if len(given) else 0.1
         return Scorer(lexicon, np.zeros(2 * k + PATTERNS), float(np.log(rate / (1 - rate))))
-    n = len(rows)
-    dense = np.zeros((n, k))
-    for i, r in enumerate(rows):
-        dense[i, r["entries"]] = r["dense"]
-    present = (dense > 0).astype(np.float64)
-    shape = np.array([r["shape"] for r in rows])
-    label = np.array([np.nan if r["label"] is None else r["label"] for r in rows])
-    post, _, _ = label_model(_votes(dense, shape), label, spoken=0)
-    weights, intercept = fit_linear(np.concatenate((present, dense, shape), axis=1), post)
+    features = np.zeros((n, 2 * k + PATTERNS + 1), np.float32)   # presence, density, spelling, one
+    at = 0
+    for batch in rows.to_batches():
+        held = batch.column("entries")
+        row = at + np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy()))
+        entry = held.flatten().to_numpy()
+        features[row, entry] = 1.0
+        features[row, k + entry] = batch.column("dense").flatten().to_numpy()
+        features[at:at + len(held), 2 * k:-1] = batch.column("shape").flatten().to_numpy().reshape(-1, PATTERNS)
+        at += len(held)
+    features[:, -1] = 1.0
+    votes = _votes(features[:, k:2 * k], features[:, 2 * k:-1])
+    post, _, _ = label_model(votes, label, spoken=0)
+    weights, intercept = fit_linear(features, post)
     return Scorer(lexicon, weights, intercept)
 
 
