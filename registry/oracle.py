@@ -452,6 +452,28 @@ ORACLE["fn_date"] = """
     FROM (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders)"""
 ORACLE["fn_array"] = f"""
     SELECT c_custkey, {texts(V.REGIONS)}[c_custkey % 4 + 1] AS region, 4 AS regions FROM customer"""
+ORACLE["refresh_months"] = "SELECT * FROM g_daily"
+ORACLE["changed_months"] = """
+    SELECT DISTINCT CAST(date_trunc('month', transaction_date) AS DATE) AS period,
+           CASE month(transaction_date) WHEN 1 THEN 'new' ELSE 'changed' END AS status
+    FROM b_line WHERE month(transaction_date) IN (1, 12)
+    UNION ALL
+    SELECT DISTINCT CAST(date_trunc('month', transaction_date) + INTERVAL 480 MONTH AS DATE), 'gone'
+    FROM b_line WHERE month(transaction_date) = 2"""
+ORACLE["refresh_stock_days"] = """
+    SELECT snapshot_date, count(*) AS rows, CAST(sum(quantity_on_hand) AS BIGINT) AS units,
+           CASE day(snapshot_date) WHEN 13 THEN 'new' WHEN 20 THEN 'new' WHEN 15 THEN 'changed' END AS status
+    FROM g_stock GROUP BY 1"""
+_ALL_SALES = f"{NET}, {UNITS}, {BASKETS}, {AOV}, {GUESTS}"
+ORACLE["rollup_sales_by_month_region"] = f"""
+    SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS month, region AS store_region,
+           {NET}, {UNITS}, {BASKETS}, {GUESTS}
+    FROM s_wide GROUP BY 1, 2"""
+ORACLE["rollup_sales_by_region"] = f"SELECT region AS store_region, {_ALL_SALES} FROM s_wide GROUP BY 1"
+ORACLE["rollup_sales_total"] = f"SELECT {_ALL_SALES} FROM s_wide"
+ORACLE["rollup_sales_by_category"] = f"SELECT category AS product_category, {_ALL_SALES} FROM s_wide GROUP BY 1"
+ORACLE["rollup_stock_by_day_region"] = f"""
+    SELECT snapshot_date, region AS store_region, {STOCK}, {SOLD}, {THROUGH}, {TURNOVER} FROM i_wide GROUP BY 1, 2"""
 _CODE = "CASE region WHEN 'AFRICA' THEN 'AF' WHEN 'AMERICA' THEN 'AM' WHEN 'ASIA' THEN 'AS' WHEN 'EUROPE' THEN 'EU' END"
 ORACLE["fn_map"] = f"SELECT store_id, {_CODE} AS by_key, {_CODE} AS by_element FROM b_store"
 ORACLE["subcategory_pick"] = f"""

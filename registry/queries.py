@@ -12,10 +12,11 @@ from tallymart.functions.stock import stock_level, stock_noise
 from tallymart.operators.index import dense_index
 from tallymart.operators.joins import Join, drill_across, each_day, resolve_index, star_join
 from tallymart.operators.sampling import resample_into, split_by, subset_index
-from tallymart.plans import generate, gold as G, questions as Q, reports
+from tallymart.plans import generate, gold as G, increments, questions as Q, reports
 from tallymart.plans.definitions import INVENTORY, SALES, VIEWS
-from tallymart.plans.metrics import metric_query
+from tallymart.plans.metrics import Dimension, metric_query
 from tallymart.plans.reports import union_all
+from tallymart.plans.rollups import open_rollup, store_rollup
 from tallymart.schemas import BRONZE, GOLD, LOOKUP_COLUMNS, LOOKUP_DIMENSIONS, TABLE_COMMENTS
 from tallymart.sources import releases
 from tallymart.sources.tables import Tables, conform, id_range, read_bronze, row_count, scratch_table, write_table
@@ -650,6 +651,47 @@ for _name in ("dim_guest", "dim_product", "dim_store", "fact_transaction", "fact
     _gold(_name, _name)
 _gold("daily_sales", "daily_sales_by_product_store")
 
+def _months_ago(lines: DataFrame) -> DataFrame:
+    """Sales lines as an earlier state: other quantities in December, no rows of January, and rows of February that
+    stand forty years later and are gone since."""
+    month = F.month("transaction_date")
+    before = lines.filter(month != 1).withColumn(
+        "quantity", F.when(month == 12, F.col("quantity") + 1).otherwise(F.col("quantity")))
+    later = lines.filter(month == 2).withColumn("transaction_date", F.add_months("transaction_date", 480))
+    return before.unionByName(later)
+
+
+def _caught_up(spark, d) -> increments.Refreshed:
+    """Facts kept by month, brought from the earlier state to the present one."""
+    bronze, where = read_testdata(spark, d), scratch_table(spark, "by_month")
+    increments.refresh_periods({"transaction_line": _months_ago(bronze["transaction_line"])}, where, unit="month")
+    return increments.refresh_periods(bronze, where, unit="month")
+
+
+@query
+def refresh_months(spark, d):
+    """Daily sales after only the months that differ were made again."""
+    return _caught_up(spark, d).tables["daily_sales_by_product_store"]
+
+
+@query
+def changed_months(spark, d):
+    return _caught_up(spark, d).periods
+
+
+@query
+def refresh_stock_days(spark, d):
+    """Stock by day, brought up from a state with two days less and another stock on a third; units of each day."""
+    bronze, where = read_testdata(spark, d), scratch_table(spark, "by_day")
+    stock, day = bronze["inventory_snapshot"], F.dayofmonth("snapshot_date")
+    before = stock.filter(~day.isin(13, 20)).withColumn("quantity_on_hand", F.when(day == 15, 1).otherwise(F.col("quantity_on_hand")))
+    increments.refresh_periods({"inventory_snapshot": before}, where, "fact_inventory")
+    done = increments.refresh_periods(bronze, where, "fact_inventory")
+    return done.tables["fact_inventory"].groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("quantity_on_hand").alias("units")).join(
+        done.periods.withColumnRenamed("period", "snapshot_date"), "snapshot_date", "left")
+
+
 RATIOS = {"Average Order Value", "Sell-Through Rate", "Inventory Turnover"}
 
 
@@ -723,6 +765,39 @@ def metric_where_having(spark, d):
     ))
 
 
+# stored aggregates: the same measures, from rollups instead of base rows
+
+BY_MONTH = SALES.with_dimensions(Dimension("Month", "trunc(source.transaction_date, 'MM')"))
+
+
+def _from_rollup(spark, d, view, source, grain, dims, measures):
+    """Measures of a view at ``dims`` from a rollup at ``grain``; the base rows of the view's source are left unread."""
+    gold, where = dict(gold_of(spark, d)), scratch_table(spark, "rollups")
+    store_rollup(view, gold, grain, where, "r")
+    unread = gold[source].limit(0).withColumn(grain[0], F.raise_error(F.lit("base rows were read")).cast("date"))
+    out = snake(metric_query(view, {**gold, source: unread}, dims, measures or [m.name for m in view.measures],
+                             rollups=[open_rollup(spark, view, grain, where, "r")]))
+    return rounded(out, *[c for c in out.columns if c in ("average_order_value", "sell_through_rate", "inventory_turnover")])
+
+
+def _rollup(name, view, source, grain, dims, measures=()):
+    def ask(spark, d):
+        return _from_rollup(spark, d, view, source, grain, dims, measures)
+
+    ask.__name__ = name
+    return query(ask)
+
+
+_DAY_STORE = ["transaction_date", "store_key"]
+_rollup("rollup_sales_by_month_region", BY_MONTH, "fact_transaction", _DAY_STORE, ["Month", "Store Region"],
+        ["Net Sales", "Units Sold", "Transaction Count", "Guest Count"])
+_rollup("rollup_sales_by_region", BY_MONTH, "fact_transaction", _DAY_STORE, ["Store Region"])
+_rollup("rollup_sales_total", BY_MONTH, "fact_transaction", _DAY_STORE, [])
+_rollup("rollup_sales_by_category", SALES, "fact_transaction", ["transaction_date", "product_key"], ["Product Category"])
+_rollup("rollup_stock_by_day_region", INVENTORY, "fact_inventory", ["snapshot_date", "store_key"],
+        ["Snapshot Date", "Store Region"])
+
+
 # -- J: questions -----------------------------------------------------------
 
 @query

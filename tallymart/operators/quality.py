@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
@@ -79,9 +80,12 @@ class Counted:
         """Passed and failed rows per rule, or None if the counts do not go with the number of rows that were stored.
 
         That happens when a stage that feeds a shuffle ran again after an executor was lost: its rows are counted
-        again, though they are stored once.
+        again, though they are stored once. There are no counts at all where the plan turned out to need no rows.
         """
-        got = self.seen.get
+        try:
+            got = self.seen.get
+        except Py4JJavaError:
+            return None
         if got["kept"] != stored_rows:
             return None
         return [{"rule": r.name, "on_failure": "drop" if r.drop else "keep",

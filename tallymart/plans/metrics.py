@@ -253,6 +253,7 @@ def metric_query(
     limit: int | None = None,
     prune_joins: bool = True,
     pre_aggregate: bool = False,
+    rollups: Sequence = (),
 ) -> DataFrame:
     """Measures of ``view`` for every combination of dimension values.
 
@@ -274,6 +275,9 @@ def metric_query(
     on its own, as a key of two would hardly shrink.
 
     A join with ``range_on`` only meets joined rows in the source's range of that column.
+
+    ``rollups`` (of ``plans.rollups``) are stored aggregates. The first one that covers the query, filters included, is read in the
+    place of the base rows; the rows that come out are the same. Queries without a measure read base rows.
     """
     if not dimensions and not measures:
         raise ValueError("ask for at least one dimension or measure")
@@ -291,6 +295,17 @@ def metric_query(
 
     keys = [F.col(f"`{n}`") for n in dimensions]
 
+    def asked_rows(rows: DataFrame) -> DataFrame:
+        if where_text is not None:
+            return rows.filter(where_text)
+        for name, test in (where or {}).items():
+            rows = rows.filter(_condition(name, test))
+        return rows
+
+    def finished(rows: DataFrame) -> DataFrame:
+        return rows.select(*keys, *[
+            m.combine({k: F.col(parts[p]) for k, p in m.parts.items()}).alias(n) for n, m in wanted.items()])
+
     def filtered_rows(some: dict) -> tuple[DataFrame, dict]:
         if pre_aggregate:
             rows, columns = _folded(view, gold, dims, some, prune_joins, where)
@@ -302,19 +317,17 @@ def metric_query(
                 *[F.expr(p.of).alias(c) for p, c in some.items()],
             )
             columns = {c: p.over(c) for p, c in some.items()}
-        if where_text is not None:
-            rows = rows.filter(where_text)
-        elif where:
-            for name, test in where.items():
-                rows = rows.filter(_condition(name, test))
-        return rows, columns
+        return asked_rows(rows), columns
 
     def grouped(some: dict) -> DataFrame:
         rows, columns = filtered_rows(some)
         return (rows.groupBy(*keys) if keys else rows.groupBy()).agg(*[c.alias(n) for n, c in columns.items()])
 
+    chosen = next((r for r in rollups if r.covers(view, dims, list(parts))), None)
     if not measures and not hidden:
         out = filtered_rows(parts)[0].select(*keys).distinct()
+    elif chosen:
+        out = finished(chosen.grouped(view, gold, dims, dimensions, parts, asked_rows))
     else:
         distinct_parts = [p for p in parts if p.how == "distinct"]
         apart = distinct_parts[1:] if pre_aggregate else []
@@ -323,10 +336,7 @@ def metric_query(
             more = grouped({p: parts[p]}).withColumn("_one", F.lit(1)).alias("more")
             same = [F.col(f"main.`{n}`").eqNullSafe(F.col(f"more.`{n}`")) for n in ["_one", *dimensions]]
             out = out.alias("main").join(more, same).select("main.*", f"more.{parts[p]}")
-        out = out.select(*keys, *[
-            m.combine({k: F.col(parts[p]) for k, p in m.parts.items()}).alias(n)
-            for n, m in wanted.items()
-        ])
+        out = finished(out)
     if having:
         out = out.filter(having)
     if order_by or limit is not None:
