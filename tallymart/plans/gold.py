@@ -215,8 +215,7 @@ def refresh_gold(
             cluster_by=by if layout == "cluster" else None, partition_by=by if layout == "partition" else None,
             bucket_by=(buckets, BUCKETED[name]) if layout == "bucket" and name in BUCKETED else None)
         if "/" not in where:
-            comment = TABLE_COMMENTS[name].replace("\\", "\\\\").replace("'", "\\'")
-            spark.sql(f"COMMENT ON TABLE {places[name]} IS '{comment}'")
+            spark.sql(f"COMMENT ON TABLE {places[name]} IS '{releases.quoted(TABLE_COMMENTS[name])}'")
         return read_bronze(spark, places[name]).select(GOLD[name].names)
 
     try:
@@ -234,7 +233,7 @@ def refresh_gold(
         broken = [f for f in findings if f["must_hold"] and f["failing"]]
         if broken:
             raise AuditFailed(broken)
-        releases.publish(spark, where, places, after, quality, findings)
+        releases.publish(spark, where, places, after, quality, findings, TABLE_COMMENTS)
     except BaseException:
         releases.discard(spark, list(places.values()))
         raise
