@@ -107,5 +107,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """``docs`` without the rows whose text holds an item; all columns and repeated rows stay."""
     held = contaminated(docs, benchmark, id_col, text_col, **settings)
     bad = stored(_with_marks(held.select(text_col), text_col).select("_m1", "_m2").distinct(), "leaks")
-    return _with_marks(docs, text_col).join(_sized(bad), ["_m1", "_m2"], "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text_col).alias("_text"))
+    return _with_marks(carried, "_text").join(_sized(bad), ["_m1", "_m2"], "left_anti").select("_row.*")

@@ -20,7 +20,7 @@ LEAST = 3                # occurrences in the sample
 SLOTS = 1 << 20
 PROBES = 2
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_SIGN = re.compile(r"[^\W\d_]")  # letters, and number signs that are none
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,7 +85,7 @@ class Filters:
 
         A tie goes to the language that sorts first.
         """
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not any(m.group().isalpha() for m in _SIGN.finditer(text)):
             return UNKNOWN, 0.0
         counts = self.counts(gram_hashes(text))
         if not counts.any():

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .common import WORDS, stored
 
 LEVELS = ("domain", "language", "source")
-BUCKETS = 1024  # of a leaf's seeded order; only one of them is ever sorted
+RANGES = 1024           # of a leaf's seeded order, at least; only one of them is ever sorted
+ROWS_PER_RANGE = 100_000  # of all rows; a larger table has more ranges
 
 
 def word_count(text: Column) -> Column:
@@ -78,33 +79,42 @@ def allocate(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, flo
 
 def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, float], share: float = 1.0,
         epochs: int = 2, seed: int = 17, tokens: Column | None = None, text_col: str = "text",
-        id_col: str = "doc_id") -> DataFrame:
+        id_col: str = "doc_id", text_hash: Column | None = None) -> DataFrame:
     """Rows of ``docs`` with their level columns, ``tokens`` and ``epoch`` (from 1), once for each time they are taken.
 
     ``levels`` names the tree's levels from the top and gives each row's node there. The total budget
     is ``share`` of all tokens. A leaf takes whole epochs while its budget lasts and then, in that
-    epoch's seeded order, every row whose tokens start before the budget ends.
+    epoch's seeded order, every row whose tokens start before the budget ends. ``text_hash`` takes the place of the
+    text's xxhash64 where the text itself is not there.
 
-    A leaf's order is cut into 1,024 ranges of a seeded hash. Sums per range tell which
+    A leaf's order is cut into 1,024 ranges of a seeded hash, or one for every 100,000 rows of the table. Sums per range tell which
     range holds the end of the budget; rows before it are taken and rows after it
     left without being sorted or moved, so a leaf that holds a third of all rows is no hot group. The tree
     itself (a row per leaf) stays distributed.
 
     NULL level values are a node of their own. Rows without tokens cost nothing and are
     taken with each started epoch. Rows of equal id and text are ordered one after the other in any
-    order. Columns of ``docs`` named like a result are replaced. An empty table gives no rows.
+    order. A row is carried as one column, so its own names clash with nothing; those that are named like a result are
+    replaced. An empty table gives no rows.
     """
     names = list(levels)
     spent = word_count(F.col(text_col)) if tokens is None else tokens
-    rows = docs.drop("tokens", "epoch").withColumns({**levels, "tokens": spent})
-    keyed = rows.withColumn("_key", F.xxhash64(F.lit(seed), id_col, text_col))
+    hashed = F.xxhash64(text_col) if text_hash is None else text_hash
+    replaced = {*names, "tokens", "epoch"}
+    carried = [c for c in docs.columns if c not in replaced]
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("_row"), *[c.alias(n) for n, c in levels.items()],
+        spent.alias("tokens"), F.col(id_col).alias("_id"), hashed.alias("_hash")).withColumn(
+        "_key", F.xxhash64(F.lit(seed), "_id", "_hash"))
+
+    leaves = keyed.groupBy(*names).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("_rows"))
+    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).first()
+    ranges = max(RANGES, total["n"] // ROWS_PER_RANGE)
 
     def range_of(epoch: Column) -> Column:
-        return F.pmod(F.xxhash64(epoch.cast("long"), "_key"), F.lit(BUCKETS)).cast("int")
+        return F.pmod(F.xxhash64(epoch.cast("long"), "_key"), F.lit(ranges)).cast("int")
 
-    leaves = keyed.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
-    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("t")).first()["t"]
-    budgets = allocate(leaves, names, weights, float(total) * share, epochs)
+    budgets = allocate(leaves.drop("_rows"), names, weights, float(total["t"]) * share, epochs)
     whole = F.least(F.floor(F.when(F.col("tokens") > 0, F.col("budget") / F.col("tokens") + 1e-9).otherwise(0.0)),
                     F.lit(epochs)).cast("int")
     plan = stored(budgets.withColumn("_whole", whole).select(
@@ -124,11 +134,11 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, flo
     partly = F.col("_end_range").isNotNull() & (F.col("_range") < F.col("_end_range"))
     sure = cut.withColumn("_times", F.col("_whole") + partly.cast("int"))
     in_order = Window.partitionBy("_leaf").orderBy(
-        F.xxhash64(F.col("_whole") + F.lit(1), F.lit("order"), "_key"), id_col, text_col
+        F.xxhash64(F.col("_whole") + F.lit(1), F.lit("order"), "_key"), "_id", "_hash"
     ).rowsBetween(Window.unboundedPreceding, -1)
     edge = cut.filter(F.col("_range") == F.col("_end_range")).withColumn(
         "_at", F.col("_end._start") + F.coalesce(F.sum("tokens").over(in_order), F.lit(0))).filter("_at < _want")
-    kept = [F.col(f"`{c}`") for c in rows.columns]
-    return sure.filter("_times > 0").select(
-        *kept, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("epoch")
-    ).unionAll(edge.select(*kept, (F.col("_whole") + 1).alias("epoch")))
+    kept = ["_row", *[F.col(f"`{n}`") for n in names], "tokens"]
+    taken = sure.filter("_times > 0").select(*kept, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("epoch")).unionAll(
+        edge.select(*kept, (F.col("_whole") + 1).alias("epoch")))
+    return taken.select(*[F.col(f"_row.`{c}`") for c in carried], *kept[1:], "epoch")

@@ -62,15 +62,16 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
-def _mixed(docs: DataFrame) -> DataFrame:
-    """``docs`` mixed to the target weights, measured in the tokens that the corpus is written in. Counts are stored, as mixing reads them four times."""
-    counted = stored(token_counts.with_counts(docs, tokenizer_path("byte_bpe_50k.json"), "_tokens"), "counted")
-    return mixing.mix(counted, tree_levels(), TARGETS, epochs=EPOCHS, tokens=F.col("_tokens"))
+def _mixed(counted: DataFrame, **settings) -> DataFrame:
+    """``counted`` mixed to the target weights, measured in the tokens that the corpus is written in. It is stored, as mixing reads it four times."""
+    return mixing.mix(stored(counted, "counted"), tree_levels(), TARGETS, epochs=EPOCHS, **settings)
 
 
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
-    return _mixed(docs).select(
+    counted = token_counts.with_counts(docs, tokenizer_path("byte_bpe_50k.json"), "n").select(
+        "doc_id", "lang", "source", "n", F.xxhash64("text").alias("text_hash"))  # no text is stored or moved
+    return _mixed(counted, tokens=F.col("n"), text_hash=F.col("text_hash")).select(
         "doc_id", "domain", "language", "leaf", "tokens", "epoch")
 
 
@@ -130,14 +131,24 @@ def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- pipeline stages: (spark, docs, folder) -> documents -------------------------
 
-LEAST_SCORE = 0.30  # of four or more languages an even split is lower
+LEAST_SHARE = 1.2  # of the share that an even split among the languages gives
+
+
+def _carried(docs: DataFrame) -> DataFrame:
+    """``docs`` with each row as one column, ``row``, beside its text, so that no stage meets the rows' own names."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
 
 
 def keep_known_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Rows whose language is known; letterless texts and those of no clear language go."""
-    judged = language_id.detect(docs.withColumn("_text", F.col("text")), _learned(docs), "_text", "_lang", "_score")
-    return judged.filter((F.col("_lang") != language_id.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).select(
-        *docs.columns)
+    """Rows whose language is known; letterless texts (NULL and empty ones too) and those of no clear language go.
+
+    Repeated rows stay repeated, other columns pass whatever their names, an empty table stays empty. Without any labelled
+    row no language is known and all rows go.
+    """
+    filters = _learned(docs)
+    least = LEAST_SHARE / max(1, len(filters.languages))
+    judged = language_id.detect(_carried(docs), filters, "text", "lang", "score")
+    return judged.filter((F.col("lang") != language_id.UNKNOWN) & (F.col("score") >= min(least, 1.0))).select("row.*")
 
 
 def keep_one_near_copy(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -146,17 +157,26 @@ def keep_one_near_copy(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Rows that hold no benchmark item."""
+    """Rows that hold no benchmark item. NULL and empty texts hold none, repeated rows stay, other columns pass, an empty table stays empty."""
     return decontaminate.clean(docs, table(spark, folder, "benchmark"))
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Rows at the target weights; a row comes once for every epoch in which it is taken."""
-    return _mixed(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Rows at the target weights; a row comes once for every epoch in which it is taken.
+
+    NULL languages and sources are leaves of their own; rows without tokens (NULL and empty texts) come with each epoch of
+    their leaf; repeated rows are rows of their own; other columns pass whatever their names; an empty table stays empty.
+    """
+    counted = token_counts.with_counts(_carried(docs), tokenizer_path("byte_bpe_50k.json"), "n").select("row", "n")
+    flat = counted.select("row", "n", "row.doc_id", "row.lang", "row.source", F.xxhash64("row.text").alias("text_hash"))
+    return _mixed(flat, tokens=F.col("n"), text_hash=F.col("text_hash")).select("row.*")
 
 
 def order_for_training(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token sequences in their slots, and the shard files that hold them."""
+    """Token sequences in their slots, and the shard files that hold them.
+
+    NULL and empty texts are in no sequence, repeated rows are all written, other columns are ignored, an empty table gives no rows.
+    """
     return token_output.written_order(docs, tokenizer_path("byte_bpe_50k.tiktoken"))
 
 

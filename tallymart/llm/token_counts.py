@@ -8,16 +8,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import SLICE, by_row
-from .units import Memo, pieces
+from .common import SLICE
+from .units import LONGEST_KEYED, Lengths, fingerprint, spans_of
 
 TABLE_UNITS = 65_536   # entries of the broadcast table: about 1.1 MB
-SAMPLE_ROWS = 2_000    # rows whose units fill the table; it only saves work and never changes a count
+SAMPLE_ROWS = 4_000    # expected number of rows whose units fill the table; it only saves work and never changes a count
 MEMO_UNITS = 300_000
 LIMIT = 512
+SPACE_SIGN = "\u0120"  # fixed value: how byte-level vocabularies write a space
 
 
 def check_pattern(path: str) -> None:
@@ -32,65 +32,59 @@ def check_pattern(path: str) -> None:
 
 
 def _counter(path: str):
+    """Function from units to their token counts.
+
+    Units of one leading space and no other white space are encoded in one go, one after the other, as no pre-token
+    crosses from one to the next. A token that starts with a space then starts a unit.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_padding()
     tokenizer.no_truncation()
+    vocabulary = tokenizer.get_vocab()
+    leads = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+    leads[[i for token, i in vocabulary.items() if token.startswith(SPACE_SIGN)]] = True
+
+    def each(units: list[str]) -> list[int]:
+        return [len(e) for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)] if units else []
 
     def count(units: list[str]) -> list[int]:
-        return [len(e) for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        plain = [u[:1] == " " and u.split() == [u[1:]] for u in units]
+        (whole,) = tokenizer.encode_batch_fast(["".join(u for u, p in zip(units, plain) if p)], add_special_tokens=False)
+        ids = np.array(whole.ids, np.int64)
+        sizes = np.diff(np.append(np.flatnonzero(leads[ids]), len(ids))).tolist()
+        if len(sizes) != sum(plain):  # a tokenizer with other tokens for spaces
+            return each(units)
+        one, many = iter(each([u for u, p in zip(units, plain) if not p])), iter(sizes)
+        return [next(many) if p else next(one) for p in plain]
 
     return count
 
 
-def frequent_units(texts: DataFrame, path: str, rows: int = SAMPLE_ROWS, most: int = TABLE_UNITS) -> dict:
-    """Compact hash table of the most frequent units in the first ``rows`` texts.
+def frequent_units(texts: DataFrame, path: str, rows: int = SAMPLE_ROWS, most: int = TABLE_UNITS) -> dict[int, int]:
+    """Compact hash table, fingerprint to length, of the ``most`` frequent units in about ``rows`` texts drawn from all.
 
-    Counted in one small task; at most ``most`` pairs of 128-bit hash and length come back.
+    Units are counted in each task, then summed; only the most frequent come to the driver, none of more than 64 signs.
     """
-    schema = pa.schema([("hi", pa.int64()), ("lo", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
         seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                cut = pieces(text or "")
-                seen.update([cut[0], *(f" {u}" for u in cut[1:])])
-        units = [u for u, _ in seen.most_common(most)]
-        counts = _counter(path)(units) if units else []
-        halves = np.array([divmod(xxhash.xxh128_intdigest(u), 1 << 64) for u in units], np.uint64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(halves[:, 0].view(np.int64)), pa.array(halves[:, 1].view(np.int64)), pa.array(counts, pa.int64())],
-            schema=schema)
-
-    got = texts.limit(rows).coalesce(1).mapInArrow(run, "hi bigint, lo bigint, n bigint").toPandas()
-    hi = got["hi"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hi)
-    return {"hi": hi[order], "lo": got["lo"].to_numpy(np.int64).view(np.uint64)[order],
-            "n": got["n"].to_numpy(np.int32)[order]}
-
-
-def _two_tier(table: dict, count):
-    """Counts of units: from the table where both hash halves agree, else encoded."""
-    hi, lo, n = table["hi"], table["lo"], table["n"]
-
-    def lengths(units: list[str]) -> list[int]:
-        if not len(hi):
-            return count(units)
-        halves = [divmod(xxhash.xxh128_intdigest(u), 1 << 64) for u in units]
-        a = np.fromiter((h for h, _ in halves), np.uint64, len(units))
-        b = np.fromiter((h for _, h in halves), np.uint64, len(units))
-        at = np.minimum(np.searchsorted(hi, a), len(hi) - 1)
-        known = (hi[at] == a) & (lo[at] == b)
-        out = n[at].astype(np.int64)
-        missed = np.flatnonzero(~known)
-        if len(missed):
-            out[missed] = count([units[i] for i in missed.tolist()])
-        return out.tolist()
-
-    return lengths
+            for start in range(0, batch.num_rows, SLICE):
+                held = [t or "" for t in batch.column(0).slice(start, SLICE).to_pylist()]
+                joined = "".join(held)
+                _, first, last, _, _ = spans_of(joined, np.array([len(t) for t in held], np.int64))
+                seen.update(joined[a:b] for a, b in zip(first.tolist(), last.tolist()) if b - a <= LONGEST_KEYED)
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array(list(seen)), pa.array(list(seen.values()), pa.int64())], ["unit", "n"])
+
+    share = min(1.0, rows / max(1, texts.count()))
+    got = texts.filter(F.rand(11) < share).mapInArrow(run, "unit string, n bigint").groupBy("unit").agg(
+        F.sum("n").alias("n")).orderBy(F.desc("n"), "unit").limit(most).select("unit").toPandas()
+    units = got["unit"].tolist()
+    return dict(zip(map(fingerprint, units), _counter(path)(units) if units else []))
 
 
 def with_counts(docs: DataFrame, path: str, name: str = "tokens", text_col: str = "text",
@@ -101,14 +95,10 @@ def with_counts(docs: DataFrame, path: str, name: str = "tokens", text_col: str
 
     @F.pandas_udf("bigint")
     def counted(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo = Memo(_two_tier(table.value, _counter(path)), memo_units)
+        lengths = Lengths(_counter(path), table.value, memo_units)
         for texts in parts:
-            out = []
-            for start in range(0, len(texts), SLICE):
-                cut = [pieces(t or "") for t in texts.iloc[start:start + SLICE]]
-                memo.learn(cut)
-                out += [sum(memo.values(c)) for c in cut]
-            yield pd.Series(out, dtype="int64")
+            out = [lengths.of(texts.iloc[start:start + SLICE].tolist()) for start in range(0, len(texts), SLICE)]
+            yield pd.Series(np.concatenate(out) if out else np.zeros(0, np.int64))
 
     return docs.withColumn(name, counted(F.col(text_col)))
 
@@ -121,25 +111,20 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, id_col: str = "
     truncation; special strings in a text count as it treats them by default. Rows are
     never shuffled and pre-tokens never leave their task.
 
-    A NULL or empty text has no bytes and no tokens. Repeated rows each give a row;
+    Ids of any type pass unchanged. A NULL or empty text has no bytes and no tokens. Repeated rows each give a row;
     other columns are ignored; an empty table gives no rows.
     """
     check_pattern(path)
-    id_type = docs.schema[id_col].dataType.simpleString()
     table = docs.sparkSession.sparkContext.broadcast(frequent_units(docs.select(text_col), path))
-    schema = pa.schema([("id", pa.string() if id_type == "string" else pa.int64()),
-                        ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
-    def make():
-        memo = Memo(_two_tier(table.value, _counter(path)), memo_units)
-
-        def work(rows):
-            cut = [pieces(t or "") for _, t in rows]
-            memo.learn(cut)
-            return [(i, len((t or "").encode()), sum(memo.values(c))) for (i, t), c in zip(rows, cut)]
-
-        return work
+    @F.pandas_udf("n_bytes bigint, n_tokens bigint")
+    def counted(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        lengths = Lengths(_counter(path), table.value, memo_units)
+        for texts in parts:
+            held = texts.tolist()
+            out = [lengths.of(held[start:start + SLICE]) for start in range(0, len(held), SLICE)]
+            yield pd.DataFrame({"n_bytes": [len((t or "").encode()) for t in held],
+                                "n_tokens": np.concatenate(out) if out else np.zeros(0, np.int64)}, dtype="int64")
 
-    return docs.select(id_col, text_col).mapInArrow(
-        by_row(make, schema), f"`{id_col}` {id_type}, n_bytes bigint, n_tokens bigint"
-    ).withColumn("over_limit", F.col("n_tokens") > limit)
+    return docs.select(id_col, counted(F.col(text_col)).alias("_c")).select(
+        id_col, "_c.n_bytes", "_c.n_tokens", (F.col("_c.n_tokens") > limit).alias("over_limit"))

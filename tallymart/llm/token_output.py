@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..sources.tables import shared_folder
 from .common import SLICE, stored
@@ -50,7 +51,7 @@ def pack(docs: DataFrame, path: str, seq_len: int = SEQ_LEN, end_id: int = END_I
     stride = seq_len * width
     end = int(end_id).to_bytes(width, "little")
     id_type = docs.schema[id_col].dataType.simpleString()
-    ids = pa.string() if id_type == "string" else pa.int64()
+    ids = to_arrow_type(docs.schema[id_col].dataType)
     schema = pa.schema([("part", pa.int32()), ("local", pa.int64()), ("doc_ids", pa.list_(ids)),
                         ("n_tokens", pa.int32()), ("tokens", pa.binary())])
 

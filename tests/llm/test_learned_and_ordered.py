@@ -39,6 +39,12 @@ def test_odd_texts_have_a_language(odd_docs, no_docs, docs):
     assert language_id.detect(no_docs, filters).count() == 0
 
 
+def test_number_signs_are_no_letters(docs):
+    filters = language_id.learn(docs.select(F.col("doc_id").alias("id"), "text", "lang"))
+    assert [filters.predict(t)[0] for t in ("½ Ⅷ", "x² ½", "٣٤", "²")] == ["und", filters.predict("x² ½")[0], "und", "und"]
+    assert filters.predict("x² ½")[0] != "und"
+
+
 def test_nothing_and_many_languages(no_docs, spark):
     empty = language_id.learn(no_docs.select(F.col("doc_id").alias("id"), "text", "lang"))
     assert empty.languages == [] and empty.predict("text") == ("und", 0.0)
@@ -125,6 +131,31 @@ def test_op7_and_the_stage_spend_tokens_of_the_tokenizer(spark, docs):
     assert Counter(r.doc_id for r in stage.collect()) == Counter(r.doc_id for r in got)
 
 
+def test_columns_named_like_the_operators_own(odd_docs):
+    clash = odd_docs.withColumns({c: F.lit("mine") for c in ("_whole", "_range", "_end", "_row", "_key", "row", "n", "tokens_")})
+    got = mixing.mix(clash, Q.tree_levels(), {}, epochs=1)
+    assert got.filter("_whole = 'mine' AND _row = 'mine' AND `row` = 'mine'").count() == 13
+
+
+@pytest.fixture(scope="module")
+def clashing(odd_docs):
+    return odd_docs.withColumns({c: F.lit("mine") for c in (
+        "_text", "_lang", "_score", "_judged", "_m1", "_m2", "_tokens", "_whole", "score", "lang_pred", "row", "n", "rid")})
+
+
+def test_stages_pass_other_columns_and_empty_tables(spark, clashing, no_docs):
+    import corpus_pipeline as P
+
+    frame = clashing
+    for _, stage in P.STAGES[:-1]:
+        out = stage(spark, frame, SF_DIR)
+        assert out.dtypes == frame.dtypes
+        rows = out.collect()
+        assert rows and all(r["_text"] == r["_m1"] == r["_whole"] == r["row"] == r["score"] == "mine" for r in rows)
+        assert stage(spark, no_docs, SF_DIR).collect() == []
+    assert P.STAGES[-1][1](spark, clashing, SF_DIR).count() > 0
+
+
 # -- token output -----------------------------------------------------------
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 1000, 4097])
@@ -191,6 +222,17 @@ def test_op9_rows_are_in_the_files_they_name(spark):
             assert held[r.offset:r.offset + len(r.tokens)] == bytes(r.tokens)
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "string"])
+def test_ids_of_other_types(odd_docs, kind):
+    from tallymart.llm import token_counts
+
+    typed = odd_docs.withColumn("doc_id", F.col("doc_id").cast(kind))
+    got = token_counts.count_tokens(typed, Q.tokenizer_path("byte_bpe_50k.json"))
+    assert dict(got.dtypes)["doc_id"] == kind and got.count() == 13
+    packed = token_output.pack(typed, Q.tokenizer_path("byte_bpe_50k.tiktoken"), 64)
+    assert dict(packed.dtypes)["doc_ids"] == f"array<{kind}>" and packed.count() > 0
+
+
 def test_output_of_nothing_and_of_repeats(odd_docs, no_docs):
     path = Q.tokenizer_path("byte_bpe_50k.tiktoken")
     assert token_output.training_order(no_docs, path).count() == 0
