@@ -265,6 +265,10 @@ STEPS |= {
             ("dim_store", "g_store", ["store_name", "region", "district", "city", "state"]),
         ] for c in cols),
 }
+STEPS["named_values"] = """
+    SELECT * FROM lookup_values
+    WHERE (table_name = 'dim_product' AND column_name IN ('product_name', 'category', 'brand'))
+       OR (table_name = 'dim_store' AND column_name IN ('region', 'district'))"""
 
 
 def _with(sql):
@@ -683,6 +687,14 @@ ORACLE["entity_match"] = """
       SELECT ' ' || lower(r_name) || '  ' AS term FROM region UNION SELECT ' ' || lower(n_name) || '  ' FROM nation
       UNION SELECT ' ' || upper(p_brand) || '  ' FROM part)
     JOIN lookup_values ON lower(trim(term)) = lower(trim(value))"""
+ORACLE["entity_match_close"] = """
+    SELECT term, table_name, column_name, value, CAST(distance AS INTEGER) AS distance,
+           row_number() OVER (PARTITION BY term ORDER BY distance, rows DESC, table_name, column_name, value) = 1 AS best
+    FROM (
+      SELECT term, v.*, levenshtein(lower(trim(term)), lower(trim(value))) AS distance, length(trim(term)) AS size
+      FROM (SELECT ' ' || upper(value[1:1] || value[3:]) AS term FROM named_values
+            UNION SELECT value[1:1] || value[3:] || 'q' FROM named_values UNION SELECT value FROM named_values), named_values v)
+    WHERE distance <= CASE WHEN size >= 7 THEN 2 WHEN size >= 4 THEN 1 ELSE 0 END"""
 
 # synthetic data
 ORACLE["gen_guests"] = f"""

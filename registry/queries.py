@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tallymart import fixed_values as V
 from tallymart.functions import columns as C
 from tallymart.functions.names import letter_code, name_udf
-from tallymart.operators import glossary, quality
+from tallymart.operators import close_match, glossary, quality
 from tallymart.functions.stock import stock_level, stock_noise
 from tallymart.operators.index import dense_index
 from tallymart.operators.joins import Join, drill_across, each_day, resolve_index, star_join
@@ -936,6 +936,17 @@ def entity_match(spark, d):
     return glossary.entity_match(terms, glossary.entity_values(gold_of(spark, d), LOOKUP_COLUMNS))
 
 
+@query
+def entity_match_close(spark, d):
+    """Names with a letter lost, and with a letter lost and another added, matched to the values they may mean."""
+    named = {"dim_product": ["product_name", "category", "brand"], "dim_store": ["region", "district"]}
+    values = glossary.entity_values(gold_of(spark, d), named)
+    lost = F.concat(F.substring("value", 1, 1), F.expr("substring(value, 3)"))
+    terms = values.select(F.concat(F.lit(" "), F.upper(lost)).alias("term")).union(values.select(F.concat(lost, F.lit("q")))).union(
+        values.select("value"))
+    return close_match.match_close(terms, values)
+
+
 # -- L: synthetic data over the given ids -----------------------------------
 
 def _ids(spark, d, table, column) -> DataFrame:
