@@ -15,7 +15,7 @@ from .units import LONGEST_KEYED, Lengths, fingerprint, spans_of
 
 TABLE_UNITS = 65_536   # entries of the broadcast table: about 1.1 MB
 SAMPLE_ROWS = 4_000    # expected number of rows whose units fill the table; it only saves work and never changes a count
-MEMO_UNITS = 300_000
+MEMO_UNITS = 600_000  # about 90 MB in a task
 LIMIT = 512
 SPACE_SIGN = "\u0120"  # fixed value: how byte-level vocabularies write a space
 
