@@ -25,7 +25,13 @@ def _grams(text: Column) -> Column:
     """Grams of a text, the second and later ones of a kind told apart by a number."""
     cut = F.transform(F.sequence(F.lit(1), F.length(text) - (GRAM - 1)), lambda i: F.substring(text, i, F.lit(GRAM)))
     every = F.when(F.length(text) >= GRAM, cut).otherwise(F.array(text))
-    return F.transform(every, lambda g, i: F.concat(g, F.size(F.filter(F.slice(every, F.lit(1), i), lambda x: x == g)).cast("string")))
+
+    def numbered(held: Column) -> Column:
+        return F.transform(held, lambda g, i: F.concat(
+            g, F.size(F.filter(F.slice(held, F.lit(1), i), lambda x: x == g)).cast("string")))
+
+    # as the one element of an array the grams are worked out once, and not again for each of them
+    return F.get(F.transform(F.array(every), numbered), F.lit(0))
 
 
 def _prefixes(texts: DataFrame, often: DataFrame, edits: int) -> DataFrame:
