@@ -173,11 +173,11 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def order_for_training(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token sequences in their slots, and the shard files that hold them.
+    """Token sequences in their slots, and the shard files that hold them in slot order; the rows list what is in the files, in any order.
 
     NULL and empty texts are in no sequence, repeated rows are all written, other columns are ignored, an empty table gives no rows.
     """
-    return token_output.written_order(docs, tokenizer_path("byte_bpe_50k.tiktoken"))
+    return token_output.written_order(docs, tokenizer_path("byte_bpe_50k.tiktoken"), sort_rows=False)
 
 
 QUERIES = {f.__name__: f for f in (

@@ -118,19 +118,14 @@ def permute(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return slot.astype(np.int64)
 
 
-def training_order(docs: DataFrame, path: str, key: int = 1, seq_len: int = SEQ_LEN, shard_bytes: int = SHARD_BYTES,
-                   width: int = 2, **pack_args) -> DataFrame:
-    """All sequences as (slot, shard, offset, doc_ids, n_tokens, tokens), range-partitioned by shard and in slot order.
+def placed(docs: DataFrame, path: str, key: int = 1, seq_len: int = SEQ_LEN, shard_bytes: int = SHARD_BYTES,
+           width: int = 2, **pack_args) -> tuple[DataFrame, int]:
+    """All sequences as (slot, shard, offset, doc_ids, n_tokens, tokens) in the order they are packed, and the number of shards.
 
-    The sort names the shard first: a writer that deals files by shard asks for that order, and would else
-    put its own sort by shard in the place of the one by slot. Sequences are packed and stored once. They are numbered through the counts per
+    Sequences are packed and stored once. They are numbered through the counts per
     input split, and the number is permuted into a global slot; a shard is a
     run of slots, and ``offset`` the place of a sequence in its shard's file. The one
     broadcast has a row of two numbers per input split.
-
-    NULL and empty texts have no tokens and appear in no sequence. Repeated rows and
-    ids are all written. Other columns are ignored. An empty table gives no rows. A text of any
-    length is spread over as many sequences as it needs.
     """
     packed = stored(pack(docs, path, seq_len, width=width, **pack_args), "sequences")
     n = packed.count()
@@ -144,14 +139,29 @@ def training_order(docs: DataFrame, path: str, key: int = 1, seq_len: int = SEQ_
 
     stride = seq_len * width + len(ROW_END)
     in_shard = max(1, shard_bytes // stride)
-    shards = max(1, -(-n // in_shard))
-    return (
-        packed.join(F.broadcast(starts), "part")
-        .withColumn("slot", slot_of(F.col("start") + F.col("local")))
-        .select("slot", F.floor(F.col("slot") / in_shard).cast("int").alias("shard"),
-                ((F.col("slot") % in_shard) * stride).alias("offset"), "doc_ids", "n_tokens", "tokens")
-        .repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
-    )
+    rows = packed.join(F.broadcast(starts), "part").withColumn("slot", slot_of(F.col("start") + F.col("local"))).select(
+        "slot", F.floor(F.col("slot") / in_shard).cast("int").alias("shard"),
+        ((F.col("slot") % in_shard) * stride).alias("offset"), "doc_ids", "n_tokens", "tokens")
+    return rows, max(1, -(-n // in_shard))
+
+
+def in_order(rows: DataFrame, shards: int) -> DataFrame:
+    """Placed sequences range-partitioned by shard and in slot order.
+
+    The sort names the shard first: a writer that deals files by shard asks for that order, and would else
+    put its own sort by shard in the place of the one by slot.
+    """
+    return rows.repartitionByRange(shards, "shard").sortWithinPartitions("shard", "slot")
+
+
+def training_order(docs: DataFrame, path: str, **place_args) -> DataFrame:
+    """The sequences of ``placed`` in slot order.
+
+    NULL and empty texts have no tokens and appear in no sequence. Repeated rows and
+    ids are all written. Other columns are ignored. An empty table gives no rows. A text of any
+    length is spread over as many sequences as it needs.
+    """
+    return in_order(*placed(docs, path, **place_args))
 
 
 # -- files ------------------------------------------------------------------
@@ -171,15 +181,19 @@ def shards_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tallymart-shards-{uuid.uuid4().hex}"
 
 
-def written_order(docs: DataFrame, path: str, folder: str | None = None, **order_args) -> DataFrame:
-    """The rows of ``training_order`` with ``file``, the folder of the shard's one file, which is written first.
+def written_order(docs: DataFrame, path: str, folder: str | None = None, sort_rows: bool = True, **place_args) -> DataFrame:
+    """The rows of ``placed`` with ``file``, the folder of the shard's one file; all files are written first, in slot order.
 
-    A row's tokens are the bytes from ``offset`` on in that file. Without ``folder`` the shards go to a new one in the shared folder.
+    A row's tokens are the bytes from ``offset`` on in that file. ``sort_rows`` gives the rows in slot order too, at the
+    price of a second shuffle of all sequences; without it they are a catalogue of the files, read from the
+    packed table in the order of packing. Odd texts and tables are as in ``training_order``. Without ``folder`` the shards
+    go to a new one in the shared folder.
     """
     folder = folder or shards_folder(docs.sparkSession)
-    ordered = training_order(docs, path, **order_args)
-    write_shards(ordered, folder)
-    return ordered.withColumn("file", F.concat(F.lit(f"{folder}/shard="), F.col("shard").cast("string")))
+    rows, shards = placed(docs, path, **place_args)
+    write_shards(in_order(rows.select("slot", "shard", "tokens"), shards), folder)
+    out = in_order(rows, shards) if sort_rows else rows
+    return out.withColumn("file", F.concat(F.lit(f"{folder}/shard="), F.col("shard").cast("string")))
 
 
 def read_slots(spark: SparkSession, path: str, seq_len: int = SEQ_LEN, width: int = 2,
