@@ -725,6 +725,10 @@ ORACLE["gen_stores"] = f"""
     FROM (SELECT s_suppkey AS id, {pick(draw('city', 's_suppkey'), V.CITIES)} AS city,
                  {_SLOT_REGION}[s_suppkey % 25 + 1] AS region, {_SLOT_DISTRICT}[s_suppkey % 25 + 1] AS district
           FROM supplier)"""
+ORACLE["hot_key_join"] = """
+    SELECT p_brand, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS units
+    FROM (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 7 <> 1 THEN l_partkey END AS part, l_quantity
+          FROM lineitem) LEFT JOIN part AS p ON part = p_partkey GROUP BY p_brand"""
 ORACLE["gen_lines"] = "SELECT * FROM made_line"
 ORACLE["gen_transaction_lines"] = f"""
     SELECT transaction_id, line_number, transaction_date, guest_id, store_id, product_id, quantity,

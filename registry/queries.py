@@ -9,6 +9,7 @@ from tallymart.functions import columns as C
 from tallymart.functions.names import letter_code, name_udf
 from tallymart.operators import close_match, glossary, quality
 from tallymart.functions.stock import stock_level, stock_noise
+from tallymart.operators.hot_join import split_join
 from tallymart.operators.index import dense_index
 from tallymart.operators.joins import Join, drill_across, each_day, resolve_index, star_join
 from tallymart.operators.sampling import resample_into, split_by, subset_index
@@ -268,6 +269,15 @@ def star_join_sales(spark, d):
     )
 
 
+@query
+def hot_key_join(spark, d):
+    """Lines by brand where a third of all lines is moved to one part and a seventh of the others to none."""
+    part = F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_orderkey") % 7 != 1, F.col("l_partkey")).cast("bigint")
+    lines = scan(spark, d, "lineitem").select(part.alias("part"), "l_quantity")
+    joined = split_join(lines, scan(spark, d, "part"), "part", ["p_brand"], "p_partkey")
+    return joined.groupBy("p_brand").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("bigint").alias("units"))
+
+
 @query
 def inventory_with_sales(spark, d):
     g = gold_of(spark, d)
