@@ -1,10 +1,13 @@
 """Line dedup: lines within a small edit distance, by a segment-partition join of Spark expressions only.
 
-A line is cut into ``edits`` + 1 segments. A line within ``edits`` single-character edits of
-it holds at least one of them unchanged, not far from its place. So lines are
+A line is cut into one segment more than the edits it may be away. A line within so many
+single-character edits of it holds at least one segment unchanged, not far from its place. So lines are
 indexed by (length, segment number, segment) and probed with those substrings of
 other lines whose place and length allow it. Candidates are verified by a banded
 bit-parallel edit distance.
+
+The lines of a key first meet one of them only, the pivot. What is then one class is not compared any
+more; lines of different classes that share a key are, so no two lines within reach end in different classes.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,58 +15,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import components, stored
 
 EDITS = 2
-LEAST_CHARS = 10          # shorter lines are only compared for equality
+LIMITS = (5, 10)          # a pair whose shorter line has under 5 characters must be equal, under 10 it may be one edit apart
 LETTERS = "etaoinshrdlucmfwypgb"  # counted for the bound on edits
+SIGNS = 62                # bits that tell which pairs of neighbouring characters occur an odd number of times
 BROADCAST_LINES = 200_000  # at most so many 8-byte line ids are sent to every executor
 
 
-def _segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """0-based start and length of segment ``i`` (from 0): short ones first, none differing by more than 1."""
-    base, longer = F.floor(length / parts), F.pmod(length, F.lit(parts))
-    extra = F.greatest(F.lit(0), i - (parts - longer))
-    size = base + F.when(F.lit(i) >= parts - longer, 1).otherwise(0)
-    return (base * i + extra).cast("int"), size.cast("int")
-
-
-def described(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``chars``, the length, and ``odd``: a bit per frequent letter that is set if the line has an odd number of it.
-
-    One edit changes at most two of these numbers, so lines within reach differ in at most twice as many bits as edits.
-    """
-    odd = F.lit(0)
-    for bit, letter in enumerate(LETTERS):
-        without = F.length(F.replace(F.col("line"), F.lit(letter), F.lit("")))
-        odd = odd + F.shiftleft((F.col("chars") - without).bitwiseAND(F.lit(1)), bit)
-    return lines.withColumn("chars", F.length("line")).withColumn("odd", odd)
+def permitted(chars: Column, edits: int = EDITS, limits: tuple[int, int] = LIMITS) -> Column:
+    """Edits that a pair may be apart whose shorter line has ``chars`` characters."""
+    return F.when(chars < limits[0], 0).when(chars < limits[1], min(1, edits)).otherwise(edits)
 
 
-def _index(edits: int) -> Column:
-    keys = []
-    for i in range(edits + 1):
-        start, size = _segment(F.col("chars"), i, edits + 1)
-        keys.append(F.xxhash64("chars", F.lit(i), F.substring(F.col("line"), start + 1, size)))
-    return F.array(*keys)
-
-
-def _probes(edits: int) -> Column:
-    """Keys of the substrings that may equal a segment of a line 0 to ``edits`` characters shorter; NULL where none fits.
-
-    With at most i edits before segment i, and at most edits - i after it, its place
-    moves by no more than either allows.
-    """
-    keys = []
-    for less in range(edits + 1):
-        short = F.col("chars") - less
-        for i in range(edits + 1):
-            start, size = _segment(short, i, edits + 1)
-            lowest, highest = max(-i, less - (edits - i)), min(i, less + (edits - i))
-            for move in range(lowest, highest + 1):
-                at = start + move
-                fits = (at >= 0) & (at + size <= F.col("chars"))
-                keys.append(F.struct(
-                    F.when(fits, F.xxhash64(short, F.lit(i), F.substring(F.col("line"), at + 1, size))).alias("key"),
-                    F.lit(less).alias("less")))
-    return F.array(*keys)
+def _segment(length: Column, i: Column, parts: Column) -> tuple[Column, Column]:
+    """0-based start and length of segment ``i`` (from 0): short ones first, none differing by more than 1."""
+    base, longer = F.floor(length / parts).cast("int"), length % parts
+    extra = F.greatest(F.lit(0), i - (parts - longer))
+    return base * i + extra, base + F.when(i >= parts - longer, 1).otherwise(0)
 
 
 def _let(value: Column, body) -> Column:
@@ -170,84 +137,157 @@ def line_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.select("rid", F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n", -1)).alias("line_no", "line"))
 
 
-def line_links(lines: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """(a, b, distance): ids of different lines at most ``edits`` apart, each pair once.
+def line_keys(lines: DataFrame, edits: int = EDITS, limits: tuple[int, int] = LIMITS) -> DataFrame:
+    """(lid, key, less, own): keys of the substrings of ``lines`` (lid, line, chars) that may equal a segment of a line ``less`` characters shorter.
 
-    ``lines`` is a stored table of ``lid``, ``line`` and what ``described`` adds. Keys and ids are joined without
-    the lines; only lines that are in a candidate pair are fetched again. Pairs whose letters show that
-    they are too far apart are turned away inside the join, so variants of one line that only share segments do not pile up.
+    ``own`` marks the segments of the line itself, which are the index. With at most i edits before segment i,
+    and at most e - i after it, its place moves by no more than either allows; e goes by the shorter line.
     """
-    long = lines.filter(F.col("chars") >= least_chars)
-    index = long.select("lid", "odd", F.explode(_index(edits)).alias("key")).alias("x")
-    probe = long.select("lid", "odd", F.explode(_probes(edits)).alias("p")).select("lid", "odd", "p.key", "p.less").filter(
-        "key IS NOT NULL").alias("y")
-    # lines of one length meet both ways, so only one order counts
-    once = F.expr("x.lid < y.lid OR (y.less > 0 AND x.lid <> y.lid)")
-    alike = F.bit_count(F.col("x.odd").bitwiseXOR(F.col("y.odd"))) <= 2 * edits
-    pairs = stored(index.join(probe, (F.col("x.key") == F.col("y.key")) & once & alike).select(
-        F.col("x.lid").alias("a"), F.col("y.lid").alias("b")).distinct(), "line-pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("lid")).distinct(), "line-ids")
-    few = wanted.count() <= BROADCAST_LINES
-    texts = lines.select("lid", "line").join(F.broadcast(wanted) if few else wanted, "lid", "left_semi")
-    texts = stored(texts, "line-texts")
-    left = texts.select(F.col("lid").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("lid").alias("b"), F.col("line").alias("line_b"))
-    verified = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", edit_distance(F.col("line_a"), F.col("line_b"), edits).alias("distance"))
-    return stored(verified, "line-distances").filter(F.col("distance") <= edits)
+    specs = []
+    for e in sorted({min(1, edits), edits} - {0}):
+        for less in range(e + 1):
+            for i in range(e + 1):
+                for move in range(max(-i, less - (e - i)), min(i, less + (e - i)) + 1):
+                    specs.append(F.struct(*[F.lit(v).alias(n) for n, v in (("e", e), ("less", less), ("i", i), ("move", move))]))
+    short, segment = F.col("chars") - F.col("s.less"), F.col("s.i")
+    start, size = _segment(short, segment, F.col("s.e") + 1)
+    at = start + F.col("s.move")
+    # one row a probe, so that the expression below is compiled once and stays small
+    rows = lines.select("lid", "line", "chars", F.explode(F.array(*specs)).alias("s"))
+    fits = (permitted(short, edits, limits) == F.col("s.e")) & (at >= 0) & (at + size <= F.col("chars"))
+    return rows.filter(fits).select(
+        "lid", F.xxhash64(short, segment, F.substring(F.col("line"), at + 1, size)).alias("key"), F.col("s.less").alias("less"),
+        ((F.col("s.less") == 0) & (F.col("s.move") == 0)).alias("own"))
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, id_col: str = "doc_id",
+def described(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``odd`` and ``signs``: bits of the letters, and of the hashed pairs of neighbours, that the line has an odd number of.
+
+    One edit changes at most two letters' numbers, and at most three pairs' (two go and one comes, or the other way round; a
+    replaced character changes four), so lines within reach differ in at most 2 and 4 times as many bits as edits.
+    """
+    letters = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(1 << k).alias("bit")) for k, c in enumerate(LETTERS)])
+    odd = F.aggregate(letters, F.lit(0), lambda bits, x: bits.bitwiseXOR(F.when(
+        F.length(F.replace(F.col("line"), x["c"], F.lit(""))) % 2 == F.length("line") % 2, 0).otherwise(x["bit"])))
+
+    def of(characters: Column) -> Column:
+        pairs = F.arrays_zip(characters.alias("a"), F.slice(characters, F.lit(2), F.size(characters)).alias("b"))
+        return F.aggregate(pairs, F.lit(0).cast("bigint"), lambda bits, p: bits.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(p["a"], p["b"]), F.lit(SIGNS)).cast("int"))))
+
+    return lines.withColumn("odd", odd).withColumn("signs", _let(F.split("line", ""), of))
+
+
+def _reach(x: str, y: str, edits: int, limits: tuple[int, int]) -> Column:
+    """Whether letters and neighbours leave it open that two described lines are near enough."""
+    most = permitted(F.least(F.col(f"{x}chars"), F.col(f"{y}chars")), edits, limits)
+    return (F.bit_count(F.col(f"{x}odd").bitwiseXOR(F.col(f"{y}odd"))) <= 2 * most) & (
+        F.bit_count(F.col(f"{x}signs").bitwiseXOR(F.col(f"{y}signs"))) <= 4 * most)
+
+
+def _near(pairs: DataFrame, texts: DataFrame, edits: int, limits: tuple[int, int]) -> DataFrame:
+    """(a, b) of ``pairs`` of ids that are within the permitted edits, by the lines in ``texts``, stored."""
+    names = ("line", "chars", "odd", "signs")
+    left = texts.select(F.col("lid").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
+    right = texts.select(F.col("lid").alias("b"), *[F.col(c).alias(f"b_{c}") for c in names])
+    both = pairs.join(left, "a").join(right, "b").filter(_reach("a_", "b_", edits, limits))
+    most = permitted(F.least("a_chars", "b_chars"), edits, limits)
+    near = edit_distance(F.col("a_line"), F.col("b_line"), edits) <= most
+    return stored(both.select("a", "b", near.alias("near")), "line-links").filter("near").select("a", "b")
+
+
+def line_groups(lines: DataFrame, edits: int = EDITS, limits: tuple[int, int] = LIMITS) -> tuple[DataFrame, DataFrame]:
+    """(lid, root) of all lines that are in a class with others, root being its smallest lid, and (lid, line) of these and more.
+
+    ``lines`` is a stored table of ``lid``, ``line`` and ``chars``; lines differ. Every line within reach of another is in its
+    class. A key with k lines costs k pairs with its pivot. Then only lines of different classes meet: those outside the
+    pivot's class with all others, turned away inside the join by ``_reach`` before a row is made.
+    """
+    keys = line_keys(lines, edits, limits)
+    heads = keys.filter("own").groupBy("key").agg(F.min("lid").alias("pivot"), F.count(F.lit(1)).alias("size"))
+    met = stored(keys.join(heads, "key").filter("lid <> pivot"), "line-met")
+    wanted = stored(met.select(F.explode(F.array("lid", "pivot")).alias("lid")).distinct(), "line-ids")
+    few = wanted.count() <= BROADCAST_LINES
+    texts = stored(described(lines.join(F.broadcast(wanted) if few else wanted, "lid", "left_semi")), "line-texts")
+    first = met.select(F.least("lid", "pivot").alias("a"), F.greatest("lid", "pivot").alias("b")).distinct()
+    roots = stored(components(_near(first, texts, edits, limits)).select(F.col("node").alias("lid"), "root"), "line-roots")
+
+    bits = texts.select("lid", "chars", "odd", "signs").join(roots, "lid", "left").withColumn("root", F.coalesce("root", "lid"))
+    main = roots.select(F.col("lid").alias("pivot"), F.col("root").alias("main"))
+    rest = met.filter("size > 1").join(bits, "lid").join(main, "pivot", "left").withColumn(
+        "outside", F.col("root") != F.coalesce("main", "pivot"))
+    open_keys = rest.filter("outside").select("key").distinct()
+    rest = stored(rest.join(open_keys, "key", "left_semi").select(
+        "key", "lid", "less", "own", "root", "outside", "chars", "odd", "signs"), "line-rest")
+
+    def across(x: DataFrame, y: DataFrame) -> DataFrame:
+        # lines of one length meet both ways, so only one order counts
+        once = F.expr("x.root <> y.root AND (x.lid < y.lid OR y.less > 0)")
+        return x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & once & _reach(
+            "x.", "y.", edits, limits)).select(F.least("x.lid", "y.lid").alias("a"), F.greatest("x.lid", "y.lid").alias("b"))
+
+    index = rest.filter("own")
+    second = across(index, rest.filter("outside")).unionAll(
+        across(index.filter("outside"), rest.filter("NOT outside"))).distinct()
+    more = _near(second, texts, edits, limits)
+    ends = roots.unionAll(texts.select("lid", F.col("lid").alias("root")).join(roots.select("lid"), "lid", "left_anti"))
+    joined = more.join(ends.select(F.col("lid").alias("a"), F.col("root").alias("ra")), "a").join(
+        ends.select(F.col("lid").alias("b"), F.col("root").alias("rb")), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    last = components(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    found = ends.join(last, "root", "left").select("lid", F.coalesce("top", "root").alias("root"), F.col("top").isNotNull().alias("moved"))
+    held = found.join(roots.select(F.col("lid"), F.lit(True).alias("linked")), "lid", "left").filter("linked OR moved")
+    return stored(held.select("lid", "root"), "line-groups"), texts.select("lid", "line")
+
+
+def line_classes(docs: DataFrame, edits: int = EDITS, limits: tuple[int, int] = LIMITS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """One row per line that is repeated or has a near line.
 
-    ``line``, ``first_id`` (smallest id that has it), ``copies``, ``n_links`` (different lines within ``edits``),
+    ``line``, ``first_id`` (smallest id that has it), ``copies``, ``class_lines`` (different lines of its class),
     ``class_line`` and ``class_first_id``: of its class, whose lines are linked directly or through
-    others, the line with the smallest first id, then the smallest line. ``keep`` marks that one.
+    others, the line with the smallest first id, then the smallest line. ``distance`` to that line, NULL if it is more than
+    ``edits`` away. ``keep`` marks that one.
 
-    Lines end at line feeds and are compared as they are; empty lines are left out. Lines under
-    ``least_chars`` characters have classes of equal lines only. Copies are folded first, so a
+    Lines end at line feeds and are compared as they are; empty lines are left out. A pair is linked if it is at most
+    ``permitted`` edits apart: ``edits``, and fewer where the shorter line is below ``limits``. Copies are folded first, so a
     line in a third of all rows is one row of every join. NULL texts have no lines; NULL ids are passed over for
     ``first_id`` unless there is no other. Repeated rows count as copies; other columns are ignored; an
     empty table gives no rows.
     """
-    lines = _numbered(docs, id_col, text_col)
-    return _classes(lines, edits, least_chars)
+    return _classes(_numbered(docs, id_col, text_col), edits, limits)
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``distinct_lines`` with a ``lid`` and what ``described`` adds, stored."""
+    """``distinct_lines`` with a ``lid`` and ``chars``, stored."""
     found = distinct_lines(docs, id_col, text_col).withColumn("lid", F.monotonically_increasing_id())
-    return stored(described(found), "lines")
+    return stored(found.withColumn("chars", F.length("line")), "lines")
 
 
-def _classes(lines: DataFrame, edits: int, least_chars: int) -> DataFrame:
-    links = line_links(lines, edits, least_chars)
-    degree = links.select(F.explode(F.array("a", "b")).alias("lid")).groupBy("lid").agg(
-        F.count(F.lit(1)).alias("n_links"))
-    roots = components(links.select("a", "b")).select(F.col("node").alias("lid"), "root")
-    marked = degree.join(roots, "lid")
+def _classes(lines: DataFrame, edits: int, limits: tuple[int, int]) -> DataFrame:
+    marked, _ = line_groups(lines, edits, limits)
     # repeated lines without a near line are their own class; only the few linked ones are joined
     few = marked.count() <= BROADCAST_LINES
     held = lines.join(F.broadcast(marked) if few else marked, "lid", "left").filter("copies > 1 OR root IS NOT NULL")
     linked = held.filter("root IS NOT NULL")
-    first = linked.groupBy("root").agg(F.min(F.struct(
+    first = linked.groupBy("root").agg(F.count(F.lit(1)).alias("class_lines"), F.min(F.struct(
         F.col("first_id").isNull().alias("none"), "first_id", "line", "lid")).alias("c"))
+    away = edit_distance(F.col("line"), F.col("c.line"), edits)
     own = linked.join(first, "root").select(
-        "line", "first_id", "copies", "n_links", F.col("c.line").alias("class_line"),
-        F.col("c.first_id").alias("class_first_id"), (F.col("lid") == F.col("c.lid")).alias("keep"))
+        "line", "first_id", "copies", "class_lines", F.col("c.line").alias("class_line"),
+        F.col("c.first_id").alias("class_first_id"), F.when(away <= edits, away).alias("distance"),
+        (F.col("lid") == F.col("c.lid")).alias("keep"))
     alone = held.filter("root IS NULL").select(
-        "line", "first_id", "copies", F.lit(0).cast("bigint").alias("n_links"), F.col("line").alias("class_line"),
-        F.col("first_id").alias("class_first_id"), F.lit(True).alias("keep"))
+        "line", "first_id", "copies", F.lit(1).cast("bigint").alias("class_lines"), F.col("line").alias("class_line"),
+        F.col("first_id").alias("class_first_id"), F.lit(0).cast("bigint").alias("distance"), F.lit(True).alias("keep"))
     return own.unionAll(alone)
 
 
-def line_members(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, id_col: str = "doc_id",
+def line_members(docs: DataFrame, edits: int = EDITS, limits: tuple[int, int] = LIMITS, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """A row per line of each document that is not empty, lines without links too.
 
-    ``rid`` and ``id`` of the row of ``docs``, ``line_no`` (from 0), ``line_sha256``, ``copies``, ``n_links``,
-    ``class_sha256`` and ``class_first_id`` as in ``line_classes``, and ``keep``: of each class only the first place of its
+    ``rid`` and ``id`` of the row of ``docs``, ``line_no`` (from 0), ``line_sha256``, ``copies``, ``class_lines``,
+    ``distance``, ``class_sha256`` and ``class_first_id`` as in ``line_classes``, and ``keep``: of each class only the first place of its
     ``class_line`` (smallest id, NULL last, then smallest rid and line number) is kept, and so is a line that is alone.
 
     Lines meet their class by SHA-256, so no text is shuffled a second time. Only repeated and linked lines are
@@ -256,14 +296,14 @@ def line_members(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_C
     """
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
         "rid", F.monotonically_increasing_id())
-    return _members(stored(named, "line-docs"), edits, least_chars)
+    return _members(stored(named, "line-docs"), edits, limits)
 
 
-def _members(held: DataFrame, edits: int, least_chars: int) -> DataFrame:
+def _members(held: DataFrame, edits: int, limits: tuple[int, int]) -> DataFrame:
     """``line_members`` of a stored (id, text, rid)."""
-    classes = _classes(_numbered(held, "id", "text"), edits, least_chars)
+    classes = _classes(_numbered(held, "id", "text"), edits, limits)
     marked = stored(classes.select(
-        F.sha2("line", 256).alias("line_sha256"), "copies", "n_links", F.sha2("class_line", 256).alias("class_sha256"),
+        F.sha2("line", 256).alias("line_sha256"), "copies", "class_lines", "distance", F.sha2("class_line", 256).alias("class_sha256"),
         "class_first_id", F.col("keep").alias("is_first")), "line-marks")
     rows = line_rows(held, "id", "text").filter("line <> ''").select(
         "rid", "id", "line_no", F.sha2("line", 256).alias("line_sha256"))
@@ -275,20 +315,21 @@ def _members(held: DataFrame, edits: int, least_chars: int) -> DataFrame:
     # joined by place, which is unique, so a line in very many rows is no hot key here
     return met.join(firsts, ["rid", "line_no"], "left").select(
         "rid", "id", "line_no", "line_sha256", F.coalesce("copies", F.lit(1)).cast("bigint").alias("copies"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("class_lines", F.lit(1)).cast("bigint").alias("class_lines"),
+        F.when(F.col("copies").isNull(), F.lit(0)).otherwise(F.col("distance")).cast("bigint").alias("distance"),
         F.coalesce("class_sha256", "line_sha256").alias("class_sha256"),
         F.when(F.col("copies").isNull(), F.col("id")).otherwise(F.col("class_first_id")).alias("class_first_id"),
         F.when(F.col("copies").isNull(), True).when(~F.col("is_first"), False).when(F.col("copies") == 1, True)
         .otherwise(F.coalesce("at_first", F.lit(False))).alias("keep"))
 
 
-def keep_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, id_col: str = "doc_id",
+def keep_lines(docs: DataFrame, edits: int = EDITS, limits: tuple[int, int] = LIMITS, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that ``line_members`` does not keep taken out of the text; empty lines, rows and columns stay."""
     tagged = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn(
         "rid", F.monotonically_increasing_id()), "line-docs")
     held = tagged.select(F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"), "rid")
-    gone = _members(held, edits, least_chars).filter("NOT keep").groupBy("rid").agg(F.collect_set("line_no").alias("gone"))
+    gone = _members(held, edits, limits).filter("NOT keep").groupBy("rid").agg(F.collect_set("line_no").alias("gone"))
     lines = F.split(F.col(f"row.`{text_col}`"), "\n", -1)
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("gone", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col(f"row.`{text_col}`")).otherwise(left)

@@ -54,7 +54,7 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_members(table(spark, folder, "documents")).select(
-        F.col("id").alias("doc_id"), "line_no", "line_sha256", "copies", "n_links", "class_sha256",
+        F.col("id").alias("doc_id"), "line_no", "line_sha256", "copies", "class_lines", "distance", "class_sha256",
         F.col("class_first_id").alias("class_first_doc_id"), "keep")
 
 

@@ -286,7 +286,7 @@ def test_edit_distance(spark):
 def test_line_classes(spark, odd_docs, no_docs):
     near = "the quick brown fox jumps over the dog"
     more = [(50, f"{near}\nother line of text\n\n{near}"), (51, near.replace("quick", "quack") + "\nabc"),
-            (52, near.replace("brown", "brwn") + "\nabd\nabc"), (53, near + "ss"), (None, "of one without an id\nabc")]
+            (52, near.replace("brown", "brwn") + "\nabd\nabc"), (53, near + "ss\nsix to\nsix so\nsixteen x\nsixteen xy\nsixteen xyz\nfive\nfives"), (None, "of one without an id\nabc")]
     frame = odd_docs.select("doc_id", "text").unionAll(spark.createDataFrame(more, "doc_id bigint, text string"))
     rows = [(r.doc_id, line) for r in frame.collect() for line in (r.text or "").split("\n") if line]
     copies = Counter(line for _, line in rows)
@@ -294,9 +294,8 @@ def test_line_classes(spark, odd_docs, no_docs):
     for doc, line in rows:
         if doc is not None:
             first[line] = min(first.get(line, doc), doc)
-    long = [x for x in copies if 10 <= len(x) < 1000]
-    pairs = [(a, b) for a in long for b in long if a < b and abs(len(a) - len(b)) <= 2 and _distance(a, b) <= 2]
-    degree = Counter(x for p in pairs for x in p)
+    short = [x for x in copies if len(x) < 1000]
+    pairs = [(a, b) for a in short for b in short if a < b and _near(a, b)]
     root = {x: x for x in copies}
 
     def find(x):
@@ -309,9 +308,14 @@ def test_line_classes(spark, odd_docs, no_docs):
     classes = defaultdict(list)
     for x in copies:
         classes[find(x)].append((first.get(x) is None, first.get(x) or 0, x))
-    want = sorted((x, first.get(x), copies[x], degree[x], min(classes[find(x)])[2], x == min(classes[find(x)])[2])
-                  for x in copies if copies[x] > 1 or degree[x])
-    got = sorted((r.line, r.first_id, r.copies, r.n_links, r.class_line, r.keep)
+    want = []
+    for x in copies:
+        rows, top = classes[find(x)], min(classes[find(x)])[2]
+        away = 0 if x == top else _distance(x, top)
+        if copies[x] > 1 or len(rows) > 1:
+            want.append((x, first.get(x), copies[x], len(rows), top, away if away <= 2 else None, x == top))
+    want.sort()
+    got = sorted((r.line, r.first_id, r.copies, r.class_lines, r.class_line, r.distance, r.keep)
                  for r in line_dedup.line_classes(frame).collect())
     assert [(str(x) for x in g) and g for g in got] == want and len(pairs) >= 4
     assert line_dedup.line_classes(no_docs).count() == 0
@@ -350,17 +354,72 @@ def test_op5_names_every_document(spark, docs):
     assert Counter((r.doc_id, r.line_no) for r in Q.op5_line_dedup(spark, SF_DIR).collect()) == places
 
 
-def test_every_near_line_is_linked(spark):
+def _near(a, b):
+    fewest = min(len(a), len(b))
+    most = 0 if fewest < 5 else 1 if fewest < 10 else 2
+    return abs(len(a) - len(b)) <= most and _distance(a, b) <= most
+
+
+def _roots(text):
+    """text: line by lid; smallest lid linked, of lines with a near one."""
+    root = {x: x for x in text}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    linked = set()
+    for a in text:
+        for b in text:
+            if a < b and _near(text[a], text[b]):
+                linked |= {a, b}
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return {x: find(x) for x in linked}
+
+
+@pytest.mark.parametrize("shape", ["random", "dense", "one prefix"])
+def test_every_near_line_is_in_the_class(spark, shape):
     import random
 
     random.seed(9)
-    lines = {"".join(random.choice("ab c") for _ in range(random.randint(10, 14))) for _ in range(250)}
+    def word(letters, low, high):
+        return "".join(random.choice(letters) for _ in range(random.randint(low, high)))
+
+    if shape == "random":
+        lines = {word("abc", 3, 10) for _ in range(150)} | {word("ab c", 9, 13) for _ in range(200)}
+    elif shape == "dense":
+        base = word("abcdef é", 40, 40)
+        lines = {base[:i] + c + base[i + 1:] for i in range(40) for c in "xyz"} | {base}
+    else:  # lines that share most of their text, few of them near
+        base = word("abcdefghijkl ", 40, 40)
+        lines = {base + word("abcd", 3, 4) + base[::-1] for _ in range(150)}
     frame = spark.createDataFrame(list(enumerate(sorted(lines))), "lid bigint, line string")
     text = dict(frame.collect())
-    got = {(min(r.a, r.b), max(r.a, r.b)): r.distance for r in line_dedup.line_links(line_dedup.described(frame)).collect()}
-    want = {(a, b): d for a in text for b in text if a < b and abs(len(text[a]) - len(text[b])) <= 2
-            and (d := _distance(text[a], text[b])) <= 2}
-    assert got == want and want
+    got, _ = line_dedup.line_groups(frame.withColumn("chars", F.length("line")))
+    want = _roots(text)
+    assert dict(got.collect()) == want and want
+
+
+def test_bits_bound_the_edits(spark):
+    import random
+
+    random.seed(4)
+    rows = []
+    for _ in range(300):
+        a = "".join(random.choice("abcde fé") for _ in range(random.randint(5, 30)))
+        b = list(a)
+        for _ in range(random.randint(1, 2)):
+            i, how = random.randrange(len(b)), random.random()
+            b[i:i + 1] = [random.choice("abcde")] if how < 0.4 else [] if how < 0.7 else [b[i], random.choice("abcde")]
+        rows.append((a, "".join(b)))
+    bits = [line_dedup.described(spark.createDataFrame([(i, p[k]) for i, p in enumerate(rows)], "lid int, line string"))
+            .select("lid", "odd", "signs").collect() for k in (0, 1)]
+    one, two = ({r.lid: (r.odd, r.signs) for r in b} for b in bits)
+    for i, (a, b) in enumerate(rows):
+        d = _distance(a, b)
+        assert (one[i][0] ^ two[i][0]).bit_count() <= 2 * d and (one[i][1] ^ two[i][1]).bit_count() <= 4 * d
 
 
 # -- token counts -----------------------------------------------------------
