@@ -563,6 +563,19 @@ ORACLE["cardinality_audit"] = "\nUNION ALL\n".join(f"""
     FROM (SELECT count(*) AS n FROM {s} WHERE {k} IS NOT NULL GROUP BY {k})""" for c, p, s, k in [
         *[(c, p, f"g_{k}", f"{k}_key") for c, p, _, k in _LINKS],
         ("fact_transaction", "fact_transaction", "g_sale", "transaction_line_key")])
+_TEXT_CELLS = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS t, '{c.name}' AS c, {c.name} AS v, count(*) AS n FROM {v} WHERE {c.name} IS NOT NULL GROUP BY {c.name}"
+    for t, v in [("dim_guest", "g_guest"), ("dim_product", "g_product"), ("dim_store", "g_store"), ("fact_transaction", "g_sale"),
+                 ("fact_inventory", "g_stock"), ("daily_sales_by_product_store", "g_daily")]
+    for c in GOLD[t].fields if c.dataType.simpleString() == "string")
+ORACLE["found_joins"] = f"""
+    SELECT * FROM (
+      WITH cells AS MATERIALIZED ({_TEXT_CELLS}),
+      met AS (SELECT a.t AS child, a.c AS child_column, b.t AS parent, b.c AS parent_column, CAST(sum(a.n) AS BIGINT) AS child_rows,
+                     count(*) AS child_keys FROM cells a JOIN cells b ON a.v = b.v AND a.t <> b.t GROUP BY ALL),
+      sizes AS (SELECT t, c, count(*) AS k, max(n) AS most FROM cells GROUP BY ALL)
+      SELECT met.* FROM met JOIN sizes x ON x.t = child AND x.c = child_column AND x.k = child_keys
+      JOIN sizes y ON y.t = parent AND y.c = parent_column AND y.most = 1)"""
 ORACLE["model_summary"] = "\nUNION ALL\n".join(f"""
     SELECT '{c}' AS child, '{p}' AS parent, '{k}_key' AS join_key, count(f.{k}_key) AS child_rows,
            count(*) - count(f.{k}_key) AS null_rows, count(d.{k}_key) AS matched_rows,

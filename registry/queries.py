@@ -10,6 +10,7 @@ from tallymart.functions.names import letter_code, name_udf
 from tallymart.operators import close_match, glossary, quality
 from tallymart.functions.stock import stock_level, stock_noise
 from tallymart.operators.hot_join import split_join
+from tallymart.operators.inclusion import find_joins
 from tallymart.operators.index import dense_index
 from tallymart.operators.joins import Join, drill_across, each_day, resolve_index, star_join
 from tallymart.operators.sampling import resample_into, split_by, subset_index
@@ -623,6 +624,12 @@ def cardinality_audit(spark, d):
     return reports.cardinality(gold_of(spark, d), (line_key,))
 
 
+@query
+def found_joins(spark, d):
+    """Joins of the stored gold tables, found from their rows alone."""
+    return find_joins(G.refresh_gold(read_testdata(spark, d), scratch_table(spark, "gold"))).joins
+
+
 @query
 def model_summary(spark, d):
     """What tables there are and how they are connected, over the frames with planted faults."""
