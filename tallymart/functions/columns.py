@@ -20,13 +20,37 @@ def _col(c) -> Column:
 
 # -- keys -------------------------------------------------------------------
 
-def surrogate_key(*parts) -> Column:
-    """Lower-case hex SHA-256 of the parts joined with ``-``; NULL if any part is NULL."""
+def key_text(*parts) -> Column:
+    """The parts joined with ``-``; NULL if any part is NULL. Two of these are equal exactly where their surrogate keys are."""
     texts = [_col(p).cast("string") for p in parts]
     joined = [texts[0]]
     for t in texts[1:]:
         joined += [F.lit("-"), t]
-    return F.sha2(F.concat(*joined) if len(joined) > 1 else joined[0], 256)
+    return F.concat(*joined) if len(joined) > 1 else joined[0]
+
+
+def hashed_key(text) -> Column:
+    """The surrogate key of a ``key_text``."""
+    return F.sha2(_col(text), 256)
+
+
+def surrogate_key(*parts) -> Column:
+    """Lower-case hex SHA-256 of the parts joined with ``-``; NULL if any part is NULL."""
+    return hashed_key(key_text(*parts))
+
+
+def packed_key(key) -> Column:
+    """A hashed key in half its length, for a shuffle; any other text stays as long. A first byte tells the two apart."""
+    key = _col(key)
+    return F.when(key.rlike("^([0-9a-f]{2})+$"), F.concat(F.lit(b"\x01"), F.unhex(key))).otherwise(
+        F.concat(F.lit(b"\x00"), key.cast("binary")))
+
+
+def unpacked_key(packed) -> Column:
+    """The key of a ``packed_key``."""
+    packed = _col(packed)
+    rest = F.substring(packed, 2, 0x7FFFFFFF)
+    return F.when(F.substring(packed, 1, 1) == F.lit(b"\x01"), F.lower(F.hex(rest))).otherwise(rest.cast("string"))
 
 
 def id_text(prefix: str, number, width: int) -> Column:

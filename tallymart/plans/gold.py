@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.columns import surrogate_key
+from ..functions.columns import hashed_key, key_text, packed_key, surrogate_key, unpacked_key
 from ..operators.quality import Counted, Rule, counted_rows, keep_rows, rule_report
 from ..schemas import GOLD, TABLE_COMMENTS
 from ..sources import releases
@@ -93,31 +93,32 @@ KEY_PARTS = {
 }
 
 
-def _keyed(table: str, clean: DataFrame) -> DataFrame:
+def _keyed(table: str, clean: DataFrame, hashed: bool = True) -> DataFrame:
+    key = surrogate_key if hashed else key_text
     # rows with a NULL required key are gone by now: every such key has a dropping rule
-    hashed = clean.withColumns({k: surrogate_key(*parts) for k, parts in KEY_PARTS[table].items()})
-    return hold_required(conform(hashed, GOLD[table], check_required=False), GOLD[table])
+    keyed = clean.withColumns({k: key(*parts) for k, parts in KEY_PARTS[table].items()})
+    return hold_required(conform(keyed, GOLD[table], check_required=False), GOLD[table])
 
 
-def dim_guest(guest: DataFrame) -> DataFrame:
-    return _keyed("dim_guest", _clean("dim_guest", guest))
+def dim_guest(guest: DataFrame, hashed: bool = True) -> DataFrame:
+    return _keyed("dim_guest", _clean("dim_guest", guest), hashed)
 
 
-def dim_product(product: DataFrame) -> DataFrame:
-    return _keyed("dim_product", _clean("dim_product", product))
+def dim_product(product: DataFrame, hashed: bool = True) -> DataFrame:
+    return _keyed("dim_product", _clean("dim_product", product), hashed)
 
 
-def dim_store(store: DataFrame) -> DataFrame:
-    return _keyed("dim_store", _clean("dim_store", store))
+def dim_store(store: DataFrame, hashed: bool = True) -> DataFrame:
+    return _keyed("dim_store", _clean("dim_store", store), hashed)
 
 
-def fact_transaction(lines: DataFrame) -> DataFrame:
+def fact_transaction(lines: DataFrame, hashed: bool = True) -> DataFrame:
     """Sales lines with hashed keys. Keys come from the ids on the line, so no dimension is joined."""
-    return _keyed("fact_transaction", _clean("fact_transaction", lines))
+    return _keyed("fact_transaction", _clean("fact_transaction", lines), hashed)
 
 
-def fact_inventory(snapshots: DataFrame) -> DataFrame:
-    return _keyed("fact_inventory", _clean("fact_inventory", snapshots))
+def fact_inventory(snapshots: DataFrame, hashed: bool = True) -> DataFrame:
+    return _keyed("fact_inventory", _clean("fact_inventory", snapshots), hashed)
 
 
 def counted_table(table: str, source: DataFrame) -> tuple[DataFrame, Counted]:
@@ -126,25 +127,41 @@ def counted_table(table: str, source: DataFrame) -> tuple[DataFrame, Counted]:
     return _keyed(table, counted.kept), counted
 
 
-def daily_sales(fact: DataFrame) -> DataFrame:
-    """Sales per day, store and product: the grain of the stock snapshots."""
-    summed = fact.groupBy(F.col("transaction_date").alias("sale_date"), "store_key", "product_key").agg(
+def _daily(fact: DataFrame) -> DataFrame:
+    return fact.groupBy(F.col("transaction_date").alias("sale_date"), "store_key", "product_key").agg(
         F.sum("quantity").alias("units_sold"), F.sum("net_amount").alias("net_sales")
     )
+
+
+def daily_sales(fact: DataFrame) -> DataFrame:
+    """Sales per day, store and product: the grain of the stock snapshots. Keys are shuffled in half their length."""
+    keys = ("store_key", "product_key")
+    summed = _daily(fact.withColumns({k: packed_key(k) for k in keys}))
+    return conform(summed.withColumns({k: unpacked_key(k) for k in keys}), GOLD["daily_sales_by_product_store"])
+
+
+def daily_sales_of(lines: DataFrame, hashed: bool = True) -> DataFrame:
+    """``daily_sales`` of bronze lines. Rows are summed by the texts of their keys, and only the sums get hashed ones."""
+    summed = _daily(fact_transaction(lines, hashed=False))
+    if hashed:
+        summed = summed.withColumns({k: hashed_key(k) for k in ("store_key", "product_key")})
     return conform(summed, GOLD["daily_sales_by_product_store"])
 
 
-def build_gold(bronze: Mapping[str, DataFrame]) -> Tables:
-    """The six gold frames over the bronze frames."""
-    gold = Tables({
-        "dim_guest": lambda: dim_guest(bronze["guest"]),
-        "dim_product": lambda: dim_product(bronze["product"]),
-        "dim_store": lambda: dim_store(bronze["store"]),
-        "fact_transaction": lambda: fact_transaction(bronze["transaction_line"]),
-        "fact_inventory": lambda: fact_inventory(bronze["inventory_snapshot"]),
-        "daily_sales_by_product_store": lambda: daily_sales(gold["fact_transaction"]),
+def build_gold(bronze: Mapping[str, DataFrame], hashed: bool = True) -> Tables:
+    """The six gold frames over the bronze frames.
+
+    With ``hashed=False`` every key is the text that the hashed key is made from (``key_text``). Joins, groups and distinct
+    counts by such keys are those by hashed ones, and shuffle a few bytes a key for 64; ``hashed_key`` makes the others of them.
+    """
+    return Tables({
+        "dim_guest": lambda: dim_guest(bronze["guest"], hashed),
+        "dim_product": lambda: dim_product(bronze["product"], hashed),
+        "dim_store": lambda: dim_store(bronze["store"], hashed),
+        "fact_transaction": lambda: fact_transaction(bronze["transaction_line"], hashed),
+        "fact_inventory": lambda: fact_inventory(bronze["inventory_snapshot"], hashed),
+        "daily_sales_by_product_store": lambda: daily_sales_of(bronze["transaction_line"], hashed),
     })
-    return gold
 
 
 # Date column of each fact, for the stored layout: most questions name a period.
