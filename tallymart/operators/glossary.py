@@ -19,22 +19,23 @@ TABLE_META = "table_name string, table_comment string"
 # -- profile ----------------------------------------------------------------
 
 def profile_columns(
-    df: DataFrame, table: str, columns: Sequence[str] | None = None, distinct: str | None = "sketch"
+    df: DataFrame, table: str, columns: Sequence[str] | None = None, distinct: str | None = "sketch", extremes: bool = True,
 ) -> DataFrame:
     """One row per column: rows, NULLs, distinct values, least and greatest value as text.
 
     ``columns`` limits the work to those columns. ``distinct`` is ``sketch`` (an
     estimate, taken in the same single pass), ``exact`` or None (leave it out). For
     exact counts hashes of the (column, value) pairs are shuffled, and of the pairs those whose hash repeats, deduplicated
-    map-side; no task holds all values of a column. ``df`` is read twice more.
+    map-side; no task holds all values of a column. ``df`` is read twice more. Without ``extremes`` the least and greatest values are
+    left out, and a column that is never NULL need not be worked out.
     """
     columns = list(columns or df.columns)
     sketch = distinct == "sketch"
     stats = df.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[F.count(c).alias(f"_n_{i}") for i, c in enumerate(columns)],
-        *[F.min(c).cast("string").alias(f"_lo_{i}") for i, c in enumerate(columns)],
-        *[F.max(c).cast("string").alias(f"_hi_{i}") for i, c in enumerate(columns)],
+        *([F.min(c).cast("string").alias(f"_lo_{i}") for i, c in enumerate(columns)] if extremes else []),
+        *([F.max(c).cast("string").alias(f"_hi_{i}") for i, c in enumerate(columns)] if extremes else []),
         *([F.approx_count_distinct(c).alias(f"_d_{i}") for i, c in enumerate(columns)] if sketch else []),
     )
     lines = stats.select(F.inline(F.array(*[
@@ -42,7 +43,7 @@ def profile_columns(
             F.lit(table).alias("table_name"), F.lit(c).alias("column_name"),
             F.col("_rows").alias("row_count"), (F.col("_rows") - F.col(f"_n_{i}")).alias("null_count"),
             *([F.col(f"_d_{i}").alias("distinct_count")] if sketch else []),
-            F.col(f"_lo_{i}").alias("min_value"), F.col(f"_hi_{i}").alias("max_value"),
+            *([F.col(f"_lo_{i}").alias("min_value"), F.col(f"_hi_{i}").alias("max_value")] if extremes else []),
         )
         for i, c in enumerate(columns)
     ])))
@@ -56,7 +57,7 @@ def profile_columns(
         F.sum(F.when(F.col("_again"), F.lit(1)).otherwise(F.col("_n"))).alias("distinct_count"))
     return lines.join(counts, "column_name", "left").select(
         "table_name", "column_name", "row_count", "null_count",
-        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"), "min_value", "max_value",
+        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"), *(["min_value", "max_value"] if extremes else []),
     )
 
 
@@ -68,11 +69,11 @@ def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def profile_tables(
     tables: Mapping[str, DataFrame], columns: Mapping[str, Sequence[str]] | None = None,
-    distinct: str | None = "sketch",
+    distinct: str | None = "sketch", extremes: bool = True,
 ) -> DataFrame:
     """Profiles of several tables; ``columns`` picks tables and columns, default all."""
     return reduce(DataFrame.unionByName, [
-        profile_columns(tables[t], t, columns[t] if columns else None, distinct) for t in columns or tables
+        profile_columns(tables[t], t, columns[t] if columns else None, distinct, extremes) for t in columns or tables
     ])
 
 

@@ -134,7 +134,7 @@ def column_drafts(
 def column_lists(spark: SparkSession, gold: Tables, names=None) -> DataFrame:
     """Per table all its columns in order, with its rows and how many of the columns hold no value."""
     live = glossary.schemas_of({n: gold[n] for n in names or gold})
-    evidence = glossary.profile_tables(gold, {t: s.names for t, s in live.items()}, distinct=None)
+    evidence = glossary.profile_tables(gold, {t: s.names for t, s in live.items()}, distinct=None, extremes=False)
     return glossary.column_lists(glossary.describe_columns(spark, live)).join(
         evidence.groupBy("table_name").agg(
             F.max("row_count").alias("row_count"),
