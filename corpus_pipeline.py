@@ -12,6 +12,7 @@ STAGES = [
     ("mixing sources to target weights", Q.mix_to_targets),
     ("token-ID / binary output", Q.order_for_training),
 ]
+LEVEL = 6  # of zstd: the tables of all stages lie on disk together
 ORACLE_SQL = None  # fingerprints, trained filters and token ids are beyond SQL; tests use brute force
 
 
@@ -19,5 +20,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage over ``documents``; every stage reads what the one before stored."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" / ", " ").replace(" ", "-"))
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" / ", " ").replace(" ", "-"), LEVEL)
     return docs

@@ -16,15 +16,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and scan it.
 
     Later passes then see the same rows whatever is recomputed, and a lost
     executor costs nothing that was written. The folder goes when the driver ends.
+    A higher ``level`` of zstd takes more time and less disk, for tables that stay beside many others.
     """
     spark = df.sparkSession
     path = scratch_table(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": level}).parquet(path)
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
