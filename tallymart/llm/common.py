@@ -1,6 +1,7 @@
 """Helpers shared by the corpus operators: stored intermediates, text columns, Arrow passes, components."""
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,15 +17,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str, level: int = 3) -> DataFrame:
-    """Write ``df`` as a table in the shared checkpoint folder and scan it.
+def stored(df: DataFrame, name: str, level: int = 3, place: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder, or at ``place`` in it, and scan it.
 
     Later passes then see the same rows whatever is recomputed, and a lost
     executor costs nothing that was written. The folder goes when the driver ends.
     A higher ``level`` of zstd takes more time and less disk, for tables that stay beside many others.
     """
     spark = df.sparkSession
-    path = scratch_table(spark, name)
+    path = place or scratch_table(spark, name)
     df.write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": level}).parquet(path)
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -32,6 +33,18 @@ def stored(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of what is written inside go when it is written, not when the driver next collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(col, UPPER, LOWER)

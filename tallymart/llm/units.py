@@ -1,4 +1,4 @@
-"""Space-led units of a text and their memo, shared by token counting and token output.
+"""Space-led units of a text and their memo, for token counting.
 
 A byte-level BPE with the common pattern (contractions, or letters, digits or other signs
 after one optional space, or white space) always starts a new pre-token at a single
@@ -6,51 +6,10 @@ space between two signs that are no white space. So a text cut there can be enco
 piece, each later piece with its space in front.
 """
 
-import re
-
 import numpy as np
 
 from .rolling import Spans
 
-_BESIDE = re.compile(r"\s | \s")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
-def pieces(text: str) -> list[str]:
-    """The first unit, then the later ones without the space that leads them."""
-    return _CUT.split(text) if _BESIDE.search(text) else text.split(" ")
-
-
-class Memo:
-    """Values of units, made in batches by ``encode`` (list of strings to list of values).
-
-    At most ``most`` units are remembered besides those of the current slice; then it starts afresh.
-    """
-
-    def __init__(self, encode, most: int):
-        self.encode, self.most = encode, most
-        self.first: dict = {}
-        self.led: dict = {}
-
-    def learn(self, cut: list[list[str]]) -> None:
-        """Make sure that every unit of these cut texts has a value."""
-        if len(self.led) + len(self.first) > self.most:
-            self.first, self.led = {}, {}
-        heads = {c[0] for c in cut}.difference(self.first)
-        new = set()
-        for c in cut:
-            new.update(c[1:])
-        new.difference_update(self.led)
-        heads, new = list(heads), list(new)
-        values = self.encode(heads + [f" {u}" for u in new]) if heads or new else []
-        self.first.update(zip(heads, values))
-        self.led.update(zip(new, values[len(heads):]))
-
-    def values(self, cut: list[str]) -> list:
-        """Values of the units of one cut text, in order."""
-        return [self.first[cut[0]], *map(self.led.__getitem__, cut[1:])]
-
-
 _SPACE = np.array([chr(i).isspace() for i in range(0x3001)])
 LONGEST_KEYED = 64
 

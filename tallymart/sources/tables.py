@@ -187,6 +187,12 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    where, files = _file_system(spark, path)
+    files.delete(where, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Freeze ``df`` in the checkpoint folder, so two passes over it see the same rows."""
     spark = df.sparkSession

@@ -213,6 +213,40 @@ def test_shards_of_uncached_rows_are_in_slot_order(spark, docs, tmp_path):
     assert {r.slot: bytes(r.tokens) for r in back.collect()} == want and len(want) > 500
 
 
+def test_rows_are_read_back_in_order_and_the_packed_table_goes(spark, docs, odd_docs, tmp_path):
+    import os
+
+    path, texts = Q.tokenizer_path("byte_bpe_50k.tiktoken"), docs.select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text"))
+    settings = {"seq_len": 64, "shard_bytes": 129 * 50}
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    got = token_output.written_order(texts, path, str(tmp_path / "shards"), **settings)
+    rows = got.collect()
+    want = token_output.training_order(texts, path, **settings).collect()
+    assert [tuple(r)[:-1] for r in rows] == [tuple(r) for r in want] and max(r.shard for r in rows) > 10
+    assert [r.slot for r in rows] == list(range(len(rows)))
+    assert spark.conf.get(name) == before
+    # each pass wrote its own shards, one file each, and no stored table holds the tokens a second time
+    assert all(len(list((tmp_path / "shards" / f"shard={s}").glob("part-*"))) == 1 for s in {r.shard for r in rows})
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan
+    assert not any("tokens" in spark.read.parquet(os.path.dirname(f)).columns for f in got.inputFiles() if f.endswith(".parquet"))
+
+
+def test_whole_texts_are_encoded_as_by_the_library(spark):
+    import base64
+
+    import tiktoken
+
+    path = Q.tokenizer_path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+    library = tiktoken.Encoding("test", pat_str=token_output.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["", " ", " a", "a ", "a  b", "it's  \n\n x", "\u3000a \u00a0b c\x1c d", "x" * 3000, "é \U0001f600 1234 , .."]
+    encode = token_output._encoder(path, 2)
+    assert [np.frombuffer(x, "<u2").tolist() for x in encode(texts)] == [library.encode_ordinary(t) for t in texts]
+
+
 def test_op9_rows_are_in_the_files_they_name(spark):
     rows = Q.op9_token_output(spark, SF_DIR).collect()
     assert [r.slot for r in rows] == list(range(len(rows)))
