@@ -137,8 +137,11 @@ def placed(docs: DataFrame, path: str, key: int = 1, seq_len: int = SEQ_LEN, sha
     def slot_of(index: pd.Series) -> pd.Series:
         return pd.Series(permute(index.to_numpy(), n, key))
 
+    # named non-deterministic, so that a filter by shard is not pushed below it, where the slot is worked out once more in
+    # a second Python worker of the task
+    slot = slot_of.asNondeterministic()(F.col("start") + F.col("local"))
     stride, in_shard = _strides(seq_len, width, shard_bytes)
-    slots = packed.join(F.broadcast(starts), "part").withColumn("slot", slot_of(F.col("start") + F.col("local")))
+    slots = packed.join(F.broadcast(starts), "part").withColumn("slot", slot)
     return _in_files(slots, stride, in_shard), max(1, -(-n // in_shard))
 
 

@@ -213,6 +213,14 @@ def test_shards_of_uncached_rows_are_in_slot_order(spark, docs, tmp_path):
     assert {r.slot: bytes(r.tokens) for r in back.collect()} == want and len(want) > 500
 
 
+def test_a_pass_works_slots_out_once(spark, docs):
+    """A second evaluation below the filter by shard would hold a second Python worker in each running task."""
+    rows, shards = token_output.placed(docs.select("doc_id", "text"), Q.tokenizer_path("byte_bpe_50k.tiktoken"), seq_len=64, shard_bytes=129 * 20)
+    some = rows.select("slot", "shard", "tokens").filter(F.col("shard").between(1, 2))
+    assert shards > 3 and {r["shard"] for r in some.select("shard").distinct().collect()} == {1, 2}
+    assert some._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_rows_are_read_back_in_order_and_the_packed_table_goes(spark, docs, odd_docs, tmp_path):
     import os
 
