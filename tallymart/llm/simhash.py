@@ -85,7 +85,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     differing bits, so a pair within 5 bits has a half whose counts are at most 2
     apart, and both points lie within 1 of a common grid cell. Which of the common
     cells counts is fixed by the moves, so a pair is made once in each half. Pairs
-    are verified exactly inside the join.
+    are verified exactly inside the join. It is a merge join whatever the sizes: Spark
+    sizes the cells by the fingerprints they are exploded from, some forty times too low.
     """
     if max_bits > 5:
         raise ValueError("the grid finds pairs of at most 5 differing bits")
@@ -95,7 +96,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         (F.col("y.move") != 0) & (F.col("x.move") != F.col("y.move"))
         & (F.abs("x.move") <= F.abs("y.move")))
     near = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= max_bits
-    return x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.fp") < F.col("y.fp")) & one_cell & near).select(
+    return x.join(y.hint("merge"), (F.col("x.cell") == F.col("y.cell")) & (F.col("x.fp") < F.col("y.fp")) & one_cell & near).select(
         F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
 
 
@@ -118,7 +119,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = stored(_roots(prints, max_bits), "roots")
     firsts = prints.groupBy("fp").agg(F.min("id").alias("first_id")).join(roots, "fp").groupBy("root").agg(
         F.min("first_id").alias("component_id"))
-    return prints.join(roots.join(firsts, "root").select("fp", "component_id"), "fp").select(
+    # a file of repeated fingerprints is far smaller than its rows, so its size must not make it a broadcast
+    return prints.join(roots.join(firsts, "root").select("fp", "component_id").hint("merge"), "fp").select(
         "id", "fp", "component_id")
 
 

@@ -149,6 +149,18 @@ def test_every_near_pair_is_linked(spark):
                                            if a < b and (a ^ b).bit_count() <= 4}
 
 
+def test_cells_and_repeated_prints_are_not_broadcast(spark):
+    """Spark sizes cells by the fingerprints that they are exploded from, and repeated fingerprints by their packed file."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    links = plan(simhash.links(spark.range(300).select(F.xxhash64("id").alias("fp"))))
+    assert "SortMergeJoin" in links and "Broadcast" not in links
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("one two three four five"), F.col("id") % 50).alias("text"))
+    groups = simhash.near_groups(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=merge)" in groups.split("\n")[1]
+
+
 def test_one_of_each_group_stays(docs, odd_docs, no_docs):
     for frame in (docs, odd_docs):
         groups = simhash.near_groups(frame)
