@@ -1,12 +1,11 @@
 """Helpers shared by the corpus operators: stored intermediates, text columns, Arrow passes, components."""
 
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.tables import durable, scratch_table
+from ..sources.tables import durable, scratch_table, shuffles_dropped  # noqa: F401
 
 WORDS = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,18 +32,6 @@ def stored(df: DataFrame, name: str, level: int = 3, place: str | None = None) -
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Shuffle files of what is written inside go when it is written, not when the driver next collects its garbage."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(col, UPPER, LOWER)
