@@ -164,6 +164,12 @@ def build_gold(bronze: Mapping[str, DataFrame], hashed: bool = True) -> Tables:
     })
 
 
+def with_hashed_keys(table: str, by_text: DataFrame) -> DataFrame:
+    """Rows of a table of ``build_gold(..., hashed=False)`` with the keys that its texts stand for."""
+    keys = {c: hashed_key(c) for c in GOLD[table].names if c.endswith("_key")}
+    return conform(by_text.withColumns(keys), GOLD[table], check_required=False)
+
+
 # Date column of each fact, for the stored layout: most questions name a period.
 DATE_OF = {
     "fact_transaction": "transaction_date",
